@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.config import Config
@@ -42,18 +42,16 @@ class Recommender:
         )
 
 
-def basket_vectors(lines: DataFrame, items: DataFrame, n_factors: int) -> DataFrame:
-    """(basket_id, features, n_known): mean factors of the known items of every basket.
+def basket_vectors(lines: DataFrame, items: DataFrame, n_factors: int, *also: Column) -> DataFrame:
+    """(basket_id, features, n_known, ...): mean factors of the known items of every basket.
 
     A repeated item counts as often as it occurs; a basket without any known item gets the zero
-    vector. Lines with a NULL item only announce their basket.
+    vector. Lines with a NULL item only announce their basket. `also` adds aggregates of the lines.
     """
-    vectors = items.select("item_id", "features")
     return (
-        lines.select("basket_id", "item_id")
-        .join(vectors, "item_id", "left")
+        lines.join(items.select("item_id", "features"), "item_id", "left")
         .groupBy("basket_id")
-        .agg(mean_vector(F.col("features"), n_factors).alias("features"), F.count("features").alias("n_known"))
+        .agg(mean_vector(F.col("features"), n_factors).alias("features"), F.count("features").alias("n_known"), *also)
     )
 
 
@@ -68,9 +66,10 @@ def recommend_for_lines(lines: DataFrame, recommender: Recommender) -> DataFrame
     Neighbours of the mean vector come first, then popular items fill up to top_k on their own
     scale. Nothing that is in the basket is returned.
     """
-    vectors = basket_vectors(lines, recommender.items, recommender.n_factors)
-    sizes = lines.groupBy("basket_id").agg(F.max("top_k").alias("k"), F.count("item_id").alias("n_lines"))
-    queries = vectors.join(sizes, "basket_id").withColumnRenamed("n_known", "n_excluded")
+    asked = F.max("top_k").cast("int").alias("k")
+    queries = basket_vectors(lines, recommender.items, recommender.n_factors, asked)
+    queries = queries.withColumnRenamed("n_known", "n_excluded")
+    sizes = lines.groupBy("basket_id").agg(asked, F.count("item_id").alias("n_lines"))
     in_basket = lines.where(F.col("item_id").isNotNull()).select("basket_id", "item_id").distinct()
     similar = neighbors(recommender.index, queries, recommender.planes, in_basket, "basket_id")
 
@@ -101,7 +100,7 @@ def recommend_baskets(requests: DataFrame, recommender: Recommender) -> DataFram
     return recommend_for_lines(basket_lines(valid), recommender)
 
 
-def request_error():
+def request_error() -> Column:
     """Why a request cannot be served, or NULL. An empty basket is a valid request."""
     return (
         F.when(F.col("basket").isNull(), F.lit("basket is missing"))
