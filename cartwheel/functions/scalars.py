@@ -40,7 +40,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 def parse_basket(text: Column) -> Column:
     """Item ids from a comma-separated list."""
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda item: F.trim(item))
 
 
 def stable_hash(*parts: Column) -> Column:

@@ -87,7 +87,7 @@ def _bucket_candidates(index: DataFrame, probes: DataFrame, key: str, block_rows
 
     def placed(side: DataFrame, identity: str, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
         return side.join(plan, bucket).select(
-            *side.columns,
+            *[F.col(c).alias(c) for c in side.columns],  # new columns: queries may be index rows
             F.pmod(F.xxhash64(identity), F.col(n_own)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other),
         )

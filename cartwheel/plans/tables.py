@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.config import Config
+from cartwheel.functions.scalars import parse_basket
 from cartwheel.operators.bias import BiasModel, fit_bias
 from cartwheel.operators.extract import interactions
 from cartwheel.operators.factors import FactorModel, with_parameters
@@ -116,23 +117,19 @@ class Job:
         return F.when(F.col("l_returnflag") == "R", -1 - F.col("l_partkey")).otherwise(F.col("l_partkey"))
 
     def requests(self) -> DataFrame:
-        """The baskets as requests: items in line order, and some that cannot be served.
+        """Every event asks with the items of its text; some requests cannot be served.
 
-        Orders without lines ask with an empty basket, or with none when the order is pending.
+        Sign-ups ask with an empty basket, errors with none, clicks name their item twice, and
+        purchases name one that no model knows.
         """
-        lines = self.table("lineitem").select(
-            "l_orderkey", F.struct("l_linenumber", "l_partkey", self.basket_item().alias("item_id")).alias("line")
-        )
-        baskets = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-        items = F.transform("lines", lambda line: line["item_id"])
-        pending = F.col("o_orderstatus") == "P"
-        empty = F.when(~pending, F.array().cast("array<bigint>"))
-        return (
-            self.table("orders")
-            .join(baskets, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-            .select(
-                F.col("o_orderkey").alias("basket_id"),
-                F.coalesce(items, empty).alias("basket"),
-                F.lit(BASKET_K).alias("top_k"),
-            )
+        event, user = F.col("event_type"), F.col("user_id")
+        item = F.get_json_object("props", "$.k")
+        other = F.when(event == "purchase", -1 - user).otherwise(user).cast("string")
+        text = F.concat_ws(" , ", item, F.when(event == "click", item), other)
+        basket = parse_basket(text).cast("array<bigint>")
+        empty = F.array().cast("array<bigint>")
+        return self.table("events").select(
+            F.col("event_id").alias("basket_id"),
+            F.when(event == "signup", empty).when(event != "error", basket).alias("basket"),
+            F.when(event == "view", 3).otherwise(BASKET_K).alias("top_k"),
         )
