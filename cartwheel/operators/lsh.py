@@ -10,20 +10,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.functions.vectors import as_matrix, hyperplanes, sign_keys, top_products, unit_rows
-from cartwheel.session import shuffle_partitions
+from cartwheel.session import shuffle_partitions, stored
 
 BLOCK_ROWS = 50_000
 
 
-def hashed(vectors: DataFrame, planes: np.ndarray) -> DataFrame:
+def with_keys(vectors: DataFrame, planes: np.ndarray) -> DataFrame:
+    """Add `keys`, the hash key of the row's vector in every table."""
+    return vectors.withColumn("keys", sign_keys(F.col("features"), planes))
+
+
+def per_table(keyed: DataFrame) -> DataFrame:
     """Every row once per table, with `table_idx` and `hash_key`."""
-    return vectors.select("*", F.posexplode(sign_keys(F.col("features"), planes)).alias("table_idx", "hash_key"))
+    others = [c for c in keyed.columns if c != "keys"]
+    return keyed.select(*others, F.posexplode("keys").alias("table_idx", "hash_key"))
 
 
 def build_index(items: DataFrame, n_factors: int, n_tables: int = 5, n_functions: int = 10, seed: int = 42) -> DataFrame:
     """The bucket table: (table_idx, hash_key, item_id, features)."""
     planes = hyperplanes(n_factors, n_tables, n_functions, seed)
-    return hashed(items.select("item_id", "features"), planes).select("table_idx", "hash_key", "item_id", "features")
+    keyed = with_keys(items.select("item_id", "features"), planes)
+    return per_table(keyed).select("table_idx", "hash_key", "item_id", "features")
 
 
 def neighbors(
@@ -40,10 +47,11 @@ def neighbors(
     upper bound on how many items of that query are excluded. Candidates share the query's exact
     bucket in at least one table. A bucket is met as matrix products of bounded blocks, each
     returning at most k + n_excluded items per query, which always holds the k best that remain.
+    The keyed queries are stored, since bucket sizes are counted before the buckets are met.
     """
     fetch = F.col("k") if exclude is None else F.col("k") + F.col("n_excluded")
-    probes = hashed(queries.select(key, "features", "k", fetch.alias("fetch")), planes)
-    found = _bucket_candidates(index, probes, key, block_rows)
+    keyed = with_keys(queries.select(key, "features", "k", fetch.alias("fetch")), planes)
+    found = _bucket_candidates(index, per_table(stored(keyed, "queries")), key, block_rows)
     return best_candidates(found, exclude, key)
 
 

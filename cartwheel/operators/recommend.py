@@ -18,6 +18,7 @@ from cartwheel.operators.popularity import (
     popularity_from_bias,
     ranked_popularity,
 )
+from cartwheel.session import stored
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class Recommender:
         shape = (config.n_hash_tables, config.n_hash_functions, config.lsh_seed)
         return cls(
             model.items.select("item_id", "features"),
-            build_index(model.items, model.n_factors, *shape),
+            stored(build_index(model.items, model.n_factors, *shape), "lsh-buckets"),
             ranked_popularity(popularity_from_bias(model.items)),
             hyperplanes(model.n_factors, *shape),
             model.n_factors,
@@ -64,14 +65,15 @@ def recommend_for_lines(lines: DataFrame, recommender: Recommender) -> DataFrame
     """(basket_id, rank, item_id, score, source) for lines (basket_id, item_id, top_k).
 
     Neighbours of the mean vector come first, then popular items fill up to top_k on their own
-    scale. Nothing that is in the basket is returned.
+    scale. Nothing that is in the basket is returned. The neighbours are stored: the fill needs
+    their number and their items besides the result itself.
     """
     asked = F.max("top_k").cast("int").alias("k")
     queries = basket_vectors(lines, recommender.items, recommender.n_factors, asked)
     queries = queries.withColumnRenamed("n_known", "n_excluded")
     sizes = lines.groupBy("basket_id").agg(asked, F.count("item_id").alias("n_lines"))
     in_basket = lines.where(F.col("item_id").isNotNull()).select("basket_id", "item_id").distinct()
-    similar = neighbors(recommender.index, queries, recommender.planes, in_basket, "basket_id")
+    similar = stored(neighbors(recommender.index, queries, recommender.planes, in_basket, "basket_id"), "similar")
 
     found = similar.groupBy("basket_id").agg(F.count("*").alias("n_found"))
     n_found = F.coalesce("n_found", F.lit(0))

@@ -16,7 +16,7 @@ from cartwheel.operators.factors import FactorModel, with_parameters
 from cartwheel.operators.ratings import user_item_ratings
 from cartwheel.operators.recommend import Recommender
 from cartwheel.operators.split import chronological_split
-from cartwheel.session import tune
+from cartwheel.session import stored, tune
 from cartwheel.sources.purchases import described_purchases, purchases_from_orders
 
 # The whole order history, and its last year for the jobs that show the date window.
@@ -53,17 +53,22 @@ class Job:
     def interactions(self) -> DataFrame:
         return interactions(self.purchases, self.config)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """The interactions as a table: everything about the model reads them several times."""
+        return stored(self.interactions, "interactions")
+
     @cached_property
     def sides(self) -> tuple[DataFrame, DataFrame]:
-        return chronological_split(self.interactions, self.config.test_fraction)
+        return chronological_split(self.history, self.config.test_fraction)
 
     @cached_property
     def train(self) -> DataFrame:
-        return user_item_ratings(self.sides[0])
+        return stored(user_item_ratings(self.sides[0]), "train")
 
     @cached_property
     def test(self) -> DataFrame:
-        return user_item_ratings(self.sides[1])
+        return stored(user_item_ratings(self.sides[1]), "test")
 
     @cached_property
     def bias(self) -> BiasModel:
@@ -71,7 +76,7 @@ class Job:
 
     def ids(self, column: str, name: str) -> DataFrame:
         """Distinct ids of both sides."""
-        return self.interactions.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct()
+        return self.history.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct()
 
     def given_factors(self, ids: DataFrame, key: str, first: int) -> DataFrame:
         """Factors assembled from two rows of `embeddings`: eight elements of each."""
@@ -92,15 +97,12 @@ class Job:
 
     @cached_property
     def model(self) -> FactorModel:
-        """Trained biases with given factors, for every id of either side."""
+        """Trained biases with given factors, for every id of either side, as stored tables."""
         users, items = self.ids("network_userid", "user_id"), self.ids("item_id", "item_id")
         n = self.config.n_factors
-        return FactorModel(
-            self.bias.mean,
-            with_parameters(users, "user_id", self.given_factors(users, "user_id", 17), self.bias.users, n),
-            with_parameters(items, "item_id", self.given_factors(items, "item_id", 1), self.bias.items, n),
-            n,
-        )
+        user_rows = with_parameters(users, "user_id", self.given_factors(users, "user_id", 17), self.bias.users, n)
+        item_rows = with_parameters(items, "item_id", self.given_factors(items, "item_id", 1), self.bias.items, n)
+        return FactorModel(self.bias.mean, stored(user_rows, "users"), stored(item_rows, "items"), n)
 
     @cached_property
     def recommender(self) -> Recommender:
