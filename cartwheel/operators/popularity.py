@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.vectors import SCORE_DIGITS
 from cartwheel.operators.index import dense_index
 
 HEAD = 10_000
 
 
 def popularity_from_bias(items: DataFrame) -> DataFrame:
-    """The item bias stands for popularity."""
-    return items.select("item_id", F.col("bias").alias("score"))
+    """The item bias stands for popularity, rounded like every score that is ranked."""
+    return items.select("item_id", F.round("bias", SCORE_DIGITS).alias("score"))
 
 
 def ranked_popularity(popularity: DataFrame) -> DataFrame:

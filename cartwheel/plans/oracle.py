@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cartwheel.functions.vectors import hyperplanes
-from cartwheel.plans.queries import SAMPLE, SEED
+from cartwheel.plans.queries import LEARNING, SAMPLE, SEED
 from cartwheel.plans.tables import BASKET_K, HISTORY, LAST_YEAR, TOP_K, VECTOR_SCALE
 
 N_FACTORS = HISTORY.n_factors
@@ -215,7 +215,8 @@ part("neighbors_others", "buckets items", item_neighbors(BASKET_K, keep_self=Fal
 part(
     "popularity",
     "items",
-    """SELECT item_id, bias AS score, row_number() OVER (ORDER BY bias DESC, item_id) AS pop_rank FROM items""",
+    """SELECT item_id, round(bias, 8) AS score, row_number() OVER (ORDER BY round(bias, 8) DESC, item_id) AS pop_rank
+  FROM items""",
 )
 BASKET_ITEM = "CASE WHEN l_returnflag = 'R' THEN -1 - l_partkey ELSE l_partkey END"
 part(
@@ -318,6 +319,71 @@ part(
 )
 
 
+D = LEARNING["n_factors"]
+RATE, DECAY, EPOCHS = LEARNING["learning_rate"], LEARNING["decay"], LEARNING["epochs"]
+
+
+def initial_rows(kind: str, ids: str, key: str) -> str:
+    digest = f"md5('{key}|' || {key} || '|' || d || '|{SEED}')"
+    uniform = f"CAST(CAST('0x' || substr({digest}, 1, 8) AS BIGINT) AS DOUBLE) / {16**8}.0"
+    return f"""SELECT '{kind}' AS kind, {key} AS id, d,
+       CASE WHEN d < {D} THEN ({uniform} * 2 - 1) * sqrt(6 / ((SELECT count(*) FROM {ids}) + {D})) ELSE 0 END AS w,
+       0.0::DOUBLE AS m, 0.0::DOUBLE AS v
+  FROM {ids}, range({D + 1}) r(d)"""
+
+
+part("w0", "user_ids item_ids", initial_rows("u", "user_ids", "user_id") + " UNION ALL " + initial_rows("i", "item_ids", "item_id"))
+part("mu0", "", "SELECT 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v")
+
+
+def errors_of(source: str, w: str, mu: str) -> str:
+    return f"""SELECT t.user_id, t.item_id,
+       any_value(k.w) + sum(CASE WHEN p.d < {D} THEN p.w * q.w ELSE p.w + q.w END) - any_value(t.rating) AS e
+  FROM {source} t JOIN {w} p ON p.kind = 'u' AND p.id = t.user_id
+  JOIN {w} q ON q.kind = 'i' AND q.id = t.item_id AND q.d = p.d, {mu} k
+ GROUP BY t.user_id, t.item_id"""
+
+
+def summed_errors(kind: str, own: str, other_kind: str, other: str, e: str, w: str) -> str:
+    return f"""SELECT '{kind}' AS kind, x.{own} AS id, q.d, sum(x.e * CASE WHEN q.d < {D} THEN q.w ELSE 1 END) AS g
+  FROM {e} x JOIN {w} q ON q.kind = '{other_kind}' AND q.id = x.{other} GROUP BY x.{own}, q.d"""
+
+
+def adam(columns: str, g: str, t: int) -> str:
+    return f"""SELECT {columns} w - {RATE} * (m2 / (1 - 0.9::DOUBLE ** {t})) / (sqrt(v2 / (1 - 0.999::DOUBLE ** {t})) + 1e-8) AS w,
+       m2 AS m, v2 AS v
+  FROM (SELECT *, m * 0.9::DOUBLE + g * 0.1::DOUBLE AS m2, v * 0.999::DOUBLE + g * g * 0.001::DOUBLE AS v2 FROM ({g}) a) b"""
+
+
+for t in range(1, EPOCHS + 1):
+    w, mu, e = f"w{t - 1}", f"mu{t - 1}", f"e{t}"
+    part(e, f"train {w} {mu}", errors_of("train", w, mu))
+    part(
+        f"g{t}",
+        f"{e} {w}",
+        summed_errors("u", "user_id", "i", "item_id", e, w)
+        + " UNION ALL "
+        + summed_errors("i", "item_id", "u", "user_id", e, w),
+    )
+    part(
+        f"s{t}",
+        f"{e} g{t}",
+        f"""SELECT f, mean_gradient, least(1, 1 / (sqrt(f * f * power + mean_gradient * mean_gradient) + 1e-6)) AS clip
+  FROM (SELECT 2 / count(*) AS f, 2 / count(*) * sum(e) AS mean_gradient,
+               (SELECT sum(g * g) FROM g{t}) AS power FROM {e}) z""",
+    )
+    gradient = f"""SELECT p.*, coalesce(g.g, 0) * clip * f + p.w * {DECAY} AS g
+  FROM {w} p LEFT JOIN g{t} g ON g.kind = p.kind AND g.id = p.id AND g.d = p.d, s{t}"""
+    part(f"w{t}", f"{w} g{t} s{t}", adam("kind, id, d,", gradient, t))
+    part(f"mu{t}", f"{mu} s{t}", adam("", f"SELECT {mu}.*, mean_gradient * clip + w * {DECAY} AS g FROM {mu}, s{t}", t))
+    part(f"h{t}", f"test w{t} mu{t}", errors_of("test", f"w{t}", f"mu{t}"))
+    part(
+        f"loss{t}",
+        f"{e} h{t}",
+        f"SELECT {t} AS epoch, (SELECT avg(e * e) FROM {e}) AS train_loss, (SELECT avg(e * e) FROM h{t}) AS test_loss",
+    )
+
+
 def text(array: str) -> str:
     return f"array_to_string({array}, ',')"
 
@@ -503,6 +569,15 @@ SELECT a.item_id, CAST(pop_rank AS INT), p.item_id, round(score, 8), 'popularity
   SELECT run_id, 'rmse' AS name, raw AS value FROM monthly
   UNION ALL SELECT run_id, 'n_pairs', CAST(n_pairs AS DOUBLE) FROM monthly
   UNION ALL SELECT run_id, 'log_count', ln(n_pairs + 1) FROM monthly) m""",
+    ),
+    "learning_curve": sql(
+        " ".join(f"loss{t}" for t in range(1, EPOCHS + 1)),
+        f"""SELECT 'gradient' AS run_id, CAST(epoch AS INT) AS epoch, round(train_loss, 6) AS train_loss,
+       round(test_loss, 6) AS test_loss, round(sqrt(train_loss), 6) AS train_rmse, round(sqrt(test_loss), 6) AS test_rmse,
+       CAST({RATE} AS DOUBLE) AS learning_rate,
+       coalesce(sqrt(test_loss) < min(sqrt(test_loss)) OVER (ORDER BY epoch
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_best
+  FROM ({" UNION ALL ".join(f"SELECT * FROM loss{t}" for t in range(1, EPOCHS + 1))}) l""",
     ),
     "champion_runs": sql(
         "monthly",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.vectors import SCORE_DIGITS
 from cartwheel.operators import evaluate, extract, factors, index, itemsets, metrics, popularity, profile, runs, split
 from cartwheel.operators.factors import predict_pairs
+from cartwheel.operators.gradient import fit_gradient
 from cartwheel.operators.lsh import neighbors
 from cartwheel.operators.ratings import training_triples, user_item_ratings
 from cartwheel.operators.recommend import basket_vectors, recommend_baskets, recommend_for_lines, responses, similar_items
@@ -28,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 
 SEED = 42
 SAMPLE = 500
+LEARNING = {"n_factors": 8, "learning_rate": 0.5, "decay": 0.001, "epochs": 4}
 
 
 def query(build: Callable[[Job], DataFrame]) -> Callable[[Job], DataFrame]:
@@ -387,6 +389,14 @@ def champion_runs(job: Job) -> DataFrame:
 # Learned models
 
 
+@query
+def learning_curve(job: Job) -> DataFrame:
+    """Loss, error and best flag of every epoch of gradient training."""
+    users, items = job.ids("network_userid", "user_id"), job.ids("item_id", "item_id")
+    _, curve = fit_gradient(job.train, job.test, users, items, run_id="gradient", seed=SEED, **LEARNING)
+    return rounded(curve, "train_loss", "test_loss", "train_rmse", "test_rmse")
+
+
 @query
 def als_ratings_rmse(job: Job) -> DataFrame:
     model, _ = factors.fit_factor_model(job.train, user_index_of(job), item_index_of(job), job.config)
