@@ -1,0 +1,155 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartwheel.config import Config
+from cartwheel.operators.bias import fit_bias
+from cartwheel.operators.evaluate import heldout_rmse
+from cartwheel.operators.factors import fit_factor_model
+from cartwheel.operators.gradient import Plateau, fit_gradient, initial_parameters
+from cartwheel.operators.index import id_index
+from cartwheel.plans.stages import evaluate_stage, extract_stage, select_stage, train_stage
+from cartwheel.sources.artifacts import read_metrics
+
+USERS, ITEMS, D = 12, 9, 3
+
+
+@pytest.fixture(scope="module")
+def pairs():
+    rng = np.random.default_rng(2)
+    cells = [(u, i) for u in range(USERS) for i in range(ITEMS)]
+    picked = rng.permutation(len(cells))[:60]
+    return [(cells[c][0], cells[c][1], float(rng.integers(1, 6))) for c in picked]
+
+
+@pytest.fixture(scope="module")
+def sides(spark, pairs):
+    schema = "user_id long, item_id long, rating double"
+    return spark.createDataFrame(pairs[:45], schema), spark.createDataFrame(pairs[45:], schema)
+
+
+def ids(spark, n, key):
+    return spark.range(n).withColumnRenamed("id", key)
+
+
+def plain_adam(pairs, w_users, w_items, rate, decay, epochs):
+    """The same training on dense arrays."""
+    train, test = pairs[:45], pairs[45:]
+    params = [w_users.copy(), w_items.copy(), np.zeros(1)]
+    m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    predict = lambda u, i: params[2][0] + params[0][u, D] + params[1][i, D] + params[0][u, :D] @ params[1][i, :D]
+    curve = []
+    for t in range(1, epochs + 1):
+        grads = [np.zeros_like(p) for p in params]
+        loss = 0.0
+        for u, i, r in train:
+            e = predict(u, i) - r
+            loss += e * e / len(train)
+            grads[0][u] += 2 / len(train) * e * np.append(params[1][i, :D], 1)
+            grads[1][i] += 2 / len(train) * e * np.append(params[0][u, :D], 1)
+            grads[2][0] += 2 / len(train) * e
+        norm = math.sqrt(sum((g * g).sum() for g in grads))
+        for k in range(3):
+            g = grads[k] * min(1, 1 / (norm + 1e-6)) + decay * params[k]
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.999 * v[k] + 0.001 * g * g
+            params[k] = params[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+        curve.append((loss, sum((predict(u, i) - r) ** 2 for u, i, r in test) / len(test)))
+    return curve
+
+
+def test_gradient_training_matches_dense_adam(spark, pairs, sides):
+    users, items = ids(spark, USERS, "user_id"), ids(spark, ITEMS, "item_id")
+    start = lambda frame, key: np.array(
+        [r.w for r in initial_parameters(frame, key, D, 42).orderBy(key).collect()]
+    )
+    expected = plain_adam(pairs, start(users, "user_id"), start(items, "item_id"), 0.3, 0.01, 4)
+    model, curve = fit_gradient(*sides, users, items, D, 0.3, 0.01, 4)
+    rows = curve.orderBy("epoch").collect()
+    assert [r.train_loss for r in rows] == pytest.approx([e[0] for e in expected])
+    assert [r.test_loss for r in rows] == pytest.approx([e[1] for e in expected])
+    assert rows[-1].train_loss < rows[0].train_loss
+    best = min(r.test_rmse for r in rows)
+    assert heldout_rmse(model, sides[1]).first().rmse == pytest.approx(best)
+    assert [r.is_best for r in rows] == [r.test_rmse == min(x.test_rmse for x in rows[: n + 1]) for n, r in enumerate(rows)]
+
+
+def test_initial_factors_are_uniform_within_the_xavier_bound(spark):
+    rows = np.array([r.w for r in initial_parameters(ids(spark, 500, "user_id"), "user_id", 8, 1).collect()])
+    bound = math.sqrt(6 / 508)
+    assert (rows[:, 8] == 0).all() and abs(rows[:, :8]).max() <= bound
+    assert abs(rows[:, :8].mean()) < bound / 20 and rows[:, :8].std() == pytest.approx(bound / math.sqrt(3), rel=0.05)
+
+
+def test_plateau_halves_after_four_flat_epochs():
+    plateau = Plateau(1.0)
+    assert [plateau.step(x) for x in (5, 4, 4, 4, 4, 4, 3, 3)] == [1, 1, 1, 1, 1, 0.5, 0.5, 0.5]
+
+
+def test_bias_model(spark, sides, pairs):
+    bias = fit_bias(sides[0], 10.0)
+    mu = np.mean([r for *_, r in pairs[:45]])
+    assert bias.mean.first().mu == pytest.approx(mu)
+    by_item = {}
+    for u, i, r in pairs[:45]:
+        by_item.setdefault(i, []).append(r - mu)
+    expected = {i: sum(x) / (10 + len(x)) for i, x in by_item.items()}
+    assert {r.item_id: r.bias for r in bias.items.collect()} == pytest.approx(expected)
+    by_user = {}
+    for u, i, r in pairs[:45]:
+        by_user.setdefault(u, []).append(r - mu - expected[i])
+    assert {r.user_id: r.bias for r in bias.users.collect()} == pytest.approx(
+        {u: sum(x) / (10 + len(x)) for u, x in by_user.items()}
+    )
+
+
+def test_als_on_residuals_learns_structure(spark):
+    rng = np.random.default_rng(0)
+    p, q = rng.normal(size=(40, 2)), rng.normal(size=(30, 2))
+    rows = [(u, i, float(3 + p[u] @ q[i])) for u in range(40) for i in range(30) if (u + i) % 3]
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    users = id_index([ratings], "user_id", "user_id", "user_idx")
+    items = id_index([ratings], "item_id", "item_id", "item_idx")
+    model, bias = fit_factor_model(ratings, users, items, Config(n_factors=4, epochs=6, reg_lambda=0.01))
+    assert heldout_rmse(model, ratings).first().rmse < 0.35
+    assert model.users.count() == 40 and model.items.where(F.size("features") != 4).isEmpty()
+
+
+@pytest.mark.parametrize("method", ["als", "gradient"])
+def test_stages_end_to_end(spark, tmp_path, method):
+    rng = np.random.default_rng(1)
+    rows = [
+        (f"u{rng.integers(25)}", f"o{n // 3}", f"i{rng.integers(20)}", str(rng.integers(1, 9)), f"2025-09-{n // 60 + 1:02d}")
+        for n in range(600)
+    ]
+    events = spark.createDataFrame(rows, "network_userid string, order_id string, item_id string, item_quantity string, datestamp string")
+    config = Config(
+        end_date="2025-09-10", num_days=31, epochs=2, n_factors=3, eval_sample_users=10,
+        output_base=str(tmp_path / "data"), checkpoint_base=str(tmp_path / "runs"),
+        latest_model_dir=str(tmp_path / "latest"), metrics_dir=str(tmp_path / "metrics"),
+    )
+    counts = extract_stage(spark, config, events)
+    assert counts["initial_count"] == counts["filtered_count"] == 600
+    trained = train_stage(spark, config, "run1", method)
+    assert 0 < trained.test_rmse < 20
+    saved, path = evaluate_stage(trained, config)
+    row = saved.first()
+    assert row.eval_date == "2025-09-10" and row.training_rmse == pytest.approx(trained.test_rmse)
+    assert row.num_users_evaluated == 10 and "/eval_" in path
+    assert select_stage(spark, config, trained) is True  # none before
+    assert select_stage(spark, config, trained) is False  # equal is not better
+    names = {r.name for r in read_metrics(spark, f"{config.checkpoint_base}/run_metrics").collect()}
+    assert "test_rmse" in names and (method == "als" or "learning_rate" in names)
+
+
+def test_training_needs_a_train_side(spark, tmp_path):
+    events = spark.createDataFrame(
+        [("u", "o", "i", "1", "2025-09-10")],
+        "network_userid string, order_id string, item_id string, item_quantity string, datestamp string",
+    )
+    config = Config(output_base=str(tmp_path / "data"), checkpoint_base=str(tmp_path / "runs"))
+    extract_stage(spark, config, events)
+    with pytest.raises(ValueError):
+        train_stage(spark, config, "run")
