@@ -43,8 +43,9 @@ def with_parameters(ids: DataFrame, key: str, factors: DataFrame, biases: DataFr
     )
 
 
-def predict_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
-    """Add `prediction`. An unknown user or item adds nothing to the score."""
+def predict_pairs(pairs: DataFrame, model: FactorModel, how: str = "left") -> DataFrame:
+    """Add `prediction`. An unknown user or item adds nothing to the score, or with
+    how="inner" leaves the pair out."""
     users = model.users.select("user_id", F.col("features").alias("_p"), F.col("bias").alias("_bu"))
     items = model.items.select("item_id", F.col("features").alias("_q"), F.col("bias").alias("_bi"))
     score = (
@@ -54,8 +55,8 @@ def predict_pairs(pairs: DataFrame, model: FactorModel) -> DataFrame:
         + F.coalesce(dot(F.col("_p"), F.col("_q")), F.lit(0.0))
     )
     return (
-        pairs.join(users, "user_id", "left")
-        .join(items, "item_id", "left")
+        pairs.join(users, "user_id", how)
+        .join(items, "item_id", how)
         .withColumn("prediction", score)
         .drop("_p", "_q", "_bu", "_bi")
     )

@@ -47,12 +47,21 @@ def neighbors(
     upper bound on how many items of that query are excluded. Candidates share the query's exact
     bucket in at least one table. A bucket is met as matrix products of bounded blocks, each
     returning at most k + n_excluded items per query, which always holds the k best that remain.
-    The keyed queries are stored, since bucket sizes are counted before the buckets are met.
     """
+    return neighbors_of_keyed(index, keyed_queries(queries, planes), exclude, key, block_rows)
+
+
+def keyed_queries(queries: DataFrame, planes: np.ndarray) -> DataFrame:
+    """Queries with their keys, stored: bucket sizes are counted before the buckets are met."""
+    return stored(with_keys(queries, planes), "queries")
+
+
+def neighbors_of_keyed(
+    index: DataFrame, keyed: DataFrame, exclude: DataFrame | None, key: str, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     fetch = F.col("k") if exclude is None else F.col("k") + F.col("n_excluded")
-    keyed = with_keys(queries.select(key, "features", "k", fetch.alias("fetch")), planes)
-    found = _bucket_candidates(index, per_table(stored(keyed, "queries")), key, block_rows)
-    return best_candidates(found, exclude, key)
+    probes = per_table(keyed.select(key, "features", "k", fetch.alias("fetch"), "keys"))
+    return best_candidates(_bucket_candidates(index, probes, key, block_rows), exclude, key)
 
 
 def best_candidates(found: DataFrame, exclude: DataFrame | None, key: str = "query_id") -> DataFrame:
@@ -61,7 +70,7 @@ def best_candidates(found: DataFrame, exclude: DataFrame | None, key: str = "que
     if exclude is not None:
         nothing = F.lit(None)
         rows = rows.unionByName(
-            exclude.select(
+            exclude.distinct().select(
                 key,
                 "item_id",
                 nothing.cast("double").alias("score"),
@@ -69,7 +78,8 @@ def best_candidates(found: DataFrame, exclude: DataFrame | None, key: str = "que
                 F.lit(True).alias("excluded"),
             )
         )
-    # One shuffle by query serves the union, the exclusion and the ranking.
+    # One shuffle by query serves the union, the exclusion and the ranking. A query brings at most
+    # its distinct exclusions and its candidates.
     merged = (
         rows.repartition(key)
         .groupBy(key, "item_id")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cartwheel.functions.vectors import SCORE_DIGITS
 from cartwheel.operators.index import dense_index
 
-HEAD = 10_000
+HEAD = 1_000
+SALTS = 64
 
 
 def popularity_from_bias(items: DataFrame) -> DataFrame:
@@ -31,16 +32,17 @@ def most_popular(popularity: DataFrame, k: int, exclude: DataFrame | None = None
     return popularity.orderBy(F.col("score").desc(), F.col("item_id").asc()).limit(k)
 
 
-def with_items(wanted: DataFrame, ranked: DataFrame) -> DataFrame:
+def with_items(wanted: DataFrame, ranked: DataFrame, spread_by: str) -> DataFrame:
     """Look up the item of every wanted `pop_rank`.
 
-    Nearly all rows want the first few ranks. Those are served from the head of the list, at most
-    HEAD rows and therefore broadcast; the rest is an ordinary join.
+    Nearly all rows want the first few ranks. Those rows are spread over SALTS copies of the head
+    of the list, a fixed HEAD * SALTS rows at most, so that no rank gathers in one task.
     """
     in_head = F.col("pop_rank") <= HEAD
-    head = wanted.where(in_head).join(F.broadcast(ranked.where(in_head)), "pop_rank")
-    tail = wanted.where(~in_head).join(ranked.where(~in_head), "pop_rank")
-    return head.unionByName(tail)
+    salt = F.when(in_head, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(in_head, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = ranked.select("pop_rank", "item_id", "score", F.explode(salts).alias("_salt"))
+    return wanted.withColumn("_salt", salt).join(copies, ["pop_rank", "_salt"]).drop("_salt")
 
 
 def popular_for_each(keys: DataFrame, ranked: DataFrame, key: str) -> DataFrame:
@@ -48,24 +50,27 @@ def popular_for_each(keys: DataFrame, ranked: DataFrame, key: str) -> DataFrame:
     wanted = keys.where(F.col("k") > 0).select(
         key, F.explode(F.sequence(F.lit(1).cast("long"), F.col("k").cast("long"))).alias("pop_rank")
     )
-    return with_items(wanted, ranked).select(key, F.col("pop_rank").cast("int").alias("rank"), "item_id", "score")
+    found = with_items(wanted, ranked, key)
+    return found.select(key, F.col("pop_rank").cast("int").alias("rank"), "item_id", "score")
 
 
 def popular_outside(needs: DataFrame, excluded: DataFrame, ranked: DataFrame, key: str) -> DataFrame:
-    """(key, position, item_id, score): for every key its first `missing` popular items.
+    """(key, rank, item_id, score): for every key its first `missing` popular items.
 
-    `needs` is (key, missing, n_excluded), `excluded` (key, item_id) is distinct and `n_excluded`
-    is at least its size per key. The excluded items of a key cut the popularity ranks into gaps,
-    and the wanted ranks are the first ones in those gaps. Only excluded items near the top can
-    matter, so each key handles few rows and emits exactly the rows it needs.
+    `needs` is (key, n_found, missing, n_excluded), and ranks continue after `n_found`. `excluded`
+    (key, item_id) may repeat; `n_excluded` is at least its distinct size per key. The excluded
+    items of a key cut the popularity ranks into gaps, and the wanted ranks are the first ones in
+    those gaps. Only excluded items near the top can matter, so each key handles few rows and
+    emits exactly the rows it needs.
     """
     taken = (
         excluded.join(needs, key)
         .join(ranked.select("item_id", "pop_rank"), "item_id")
         .where(F.col("pop_rank") < F.col("missing") + F.col("n_excluded"))
-        .select(key, "missing", "pop_rank")
+        .select(key, "n_found", "missing", "pop_rank")
+        .distinct()
     )
-    start = needs.select(key, "missing", F.lit(0).cast("long").alias("pop_rank"))
+    start = needs.select(key, "n_found", "missing", F.lit(0).cast("long").alias("pop_rank"))
     order = Window.partitionBy(key).orderBy("pop_rank")
     gaps = (
         taken.unionByName(start)
@@ -73,12 +78,10 @@ def popular_outside(needs: DataFrame, excluded: DataFrame, ranked: DataFrame, ke
         .withColumn("_next", F.lead("pop_rank").over(order))
         .where(F.col("_free") < F.col("missing"))
         .withColumn("_first", F.col("pop_rank") + 1)
-        .withColumn(
-            "_last", F.least(F.col("_next") - 1, F.col("pop_rank") + F.col("missing") - F.col("_free"))
-        )
+        .withColumn("_last", F.least(F.col("_next") - 1, F.col("pop_rank") + F.col("missing") - F.col("_free")))
         .where(F.col("_first") <= F.col("_last"))
     )
-    wanted = gaps.select(
-        key, "_free", "_first", F.explode(F.sequence("_first", "_last")).alias("pop_rank")
-    ).select(key, "pop_rank", (F.col("_free") + F.col("pop_rank") - F.col("_first") + 1).alias("position"))
-    return with_items(wanted, ranked).select(key, F.col("position").cast("int").alias("position"), "item_id", "score")
+    rank_shift = F.col("n_found") + F.col("_free") - F.col("_first") + 1
+    wanted = gaps.select(key, rank_shift.alias("_shift"), F.explode(F.sequence("_first", "_last")).alias("pop_rank"))
+    found = with_items(wanted, ranked, key)
+    return found.select(key, (F.col("_shift") + F.col("pop_rank")).cast("int").alias("rank"), "item_id", "score")

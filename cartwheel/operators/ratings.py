@@ -20,13 +20,6 @@ def user_item_ratings(interactions: DataFrame, columns: Columns = Columns()) ->
     )
 
 
-def known_pairs(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Only pairs whose user and item the model knows."""
-    return ratings.join(users.select("user_id"), "user_id", "left_semi").join(
-        items.select("item_id"), "item_id", "left_semi"
-    )
-
-
 def training_triples(ratings: DataFrame, user_index: DataFrame, item_index: DataFrame) -> DataFrame:
     """(user_idx, item_idx, rating); pairs with an id outside the index are dropped."""
     return (

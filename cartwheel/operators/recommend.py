@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import Config
 from cartwheel.functions.vectors import hyperplanes, mean_vector
-from cartwheel.operators.factors import FactorModel
-from cartwheel.operators.lsh import build_index, neighbors
+from cartwheel.operators.lsh import build_index, keyed_queries, neighbors, neighbors_of_keyed
 from cartwheel.operators.popularity import (
     popular_for_each,
     popular_outside,
@@ -32,14 +31,15 @@ class Recommender:
     n_factors: int
 
     @classmethod
-    def from_model(cls, model: FactorModel, config: Config = Config()) -> Recommender:
+    def from_items(cls, items: DataFrame, n_factors: int, config: Config = Config()) -> Recommender:
+        """Build from item parameters (item_id, features, bias)."""
         shape = (config.n_hash_tables, config.n_hash_functions, config.lsh_seed)
         return cls(
-            model.items.select("item_id", "features"),
-            stored(build_index(model.items, model.n_factors, *shape), "lsh-buckets"),
-            ranked_popularity(popularity_from_bias(model.items)),
-            hyperplanes(model.n_factors, *shape),
-            model.n_factors,
+            items.select("item_id", "features"),
+            stored(build_index(items, n_factors, *shape), "lsh-buckets"),
+            ranked_popularity(popularity_from_bias(items)),
+            hyperplanes(n_factors, *shape),
+            n_factors,
         )
 
 
@@ -68,32 +68,29 @@ def recommend_for_lines(lines: DataFrame, recommender: Recommender) -> DataFrame
     scale. Nothing that is in the basket is returned. The neighbours are stored: the fill needs
     their number and their items besides the result itself.
     """
-    asked = F.max("top_k").cast("int").alias("k")
-    queries = basket_vectors(lines, recommender.items, recommender.n_factors, asked)
-    queries = queries.withColumnRenamed("n_known", "n_excluded")
-    sizes = lines.groupBy("basket_id").agg(asked, F.count("item_id").alias("n_lines"))
-    in_basket = lines.where(F.col("item_id").isNotNull()).select("basket_id", "item_id").distinct()
-    similar = stored(neighbors(recommender.index, queries, recommender.planes, in_basket, "basket_id"), "similar")
+    counts = [F.max("top_k").cast("int").alias("k"), F.count("item_id").alias("n_lines")]
+    vectors = basket_vectors(lines, recommender.items, recommender.n_factors, *counts)
+    queries = keyed_queries(vectors.withColumnRenamed("n_known", "n_excluded"), recommender.planes)
+    in_basket = lines.where(F.col("item_id").isNotNull()).select("basket_id", "item_id")
+    similar = stored(neighbors_of_keyed(recommender.index, queries, in_basket, "basket_id"), "similar")
 
     found = similar.groupBy("basket_id").agg(F.count("*").alias("n_found"))
     n_found = F.coalesce("n_found", F.lit(0))
-    needs = sizes.join(found, "basket_id", "left").select(
-        "basket_id",
-        n_found.alias("n_found"),
-        (F.col("k") - n_found).alias("missing"),
-        (F.col("n_lines") + n_found).alias("n_excluded"),
+    needs = (
+        queries.join(found, "basket_id", "left")
+        .where(F.col("k") > n_found)
+        .select(
+            "basket_id",
+            n_found.alias("n_found"),
+            (F.col("k") - n_found).alias("missing"),
+            (F.col("n_lines") + n_found).alias("n_excluded"),
+        )
     )
-    needs = needs.where(F.col("missing") > 0)
     taken = in_basket.unionByName(similar.select("basket_id", "item_id"))
-    fill = popular_outside(needs.drop("n_found"), taken, recommender.popularity, "basket_id")
-    filled = fill.join(needs.select("basket_id", "n_found"), "basket_id").select(
-        "basket_id",
-        (F.col("n_found") + F.col("position")).cast("int").alias("rank"),
-        "item_id",
-        "score",
-        F.lit("popularity").alias("source"),
+    fill = popular_outside(stored(needs, "needs"), taken, recommender.popularity, "basket_id")
+    return similar.withColumn("source", F.lit("similarity")).unionByName(
+        fill.withColumn("source", F.lit("popularity"))
     )
-    return similar.withColumn("source", F.lit("similarity")).unionByName(filled)
 
 
 def recommend_baskets(requests: DataFrame, recommender: Recommender) -> DataFrame:

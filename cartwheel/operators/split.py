@@ -27,11 +27,14 @@ def chronological_split(frame: DataFrame, test_fraction: float) -> tuple[DataFra
 
 
 def partition_sides(frame: DataFrame, test_fraction: float) -> DataFrame:
-    """Every date partition with its row count and its side of the split."""
-    cut = first_test_partition(frame.select("date_partition"), test_fraction)
+    """Every date partition with its row count and its side of the split, in one pass."""
     counted = frame.groupBy("date_partition").agg(F.count("*").alias("n_rows"))
-    side = F.when(F.col("date_partition") < F.coalesce(cut, F.lit("~")), "train").otherwise("test")
-    return counted.select("date_partition", "n_rows", side.alias("side"))
+    # One array of at most one entry per day of the window.
+    listed = counted.agg(F.sort_array(F.collect_list(F.struct("date_partition", "n_rows"))).alias("days"))
+    n_train = F.floor(F.size("days") * F.lit(1 - test_fraction))
+    placed = listed.select(n_train.alias("n_train"), F.posexplode("days").alias("nr", "day"))
+    side = F.when(F.col("nr") < F.col("n_train"), "train").otherwise("test")
+    return placed.select("day.date_partition", "day.n_rows", side.alias("side"))
 
 
 def hash_split(frame: DataFrame, keys: list[str], test_fraction: float, seed: int) -> DataFrame:

@@ -186,12 +186,12 @@ def rmse_by_quantity(job: Job) -> DataFrame:
 
 @query
 def user_topk(job: Job) -> DataFrame:
-    return rounded(top_items(job.model, job.model.users, TOP_K), "score", digits=SCORE_DIGITS)
+    return rounded(top_items(job.model, job.users, TOP_K), "score", digits=SCORE_DIGITS)
 
 
 @query
 def user_topk_unseen(job: Job) -> DataFrame:
-    return rounded(top_items(job.model, job.model.users, TOP_K, seen=job.train.select("user_id", "item_id")), "score", digits=SCORE_DIGITS)
+    return rounded(top_items(job.model, job.users, TOP_K, seen=job.train.select("user_id", "item_id")), "score", digits=SCORE_DIGITS)
 
 
 @query
@@ -227,7 +227,7 @@ def evaluation_sampled(job: Job) -> DataFrame:
 @query
 def embedding_lookup(job: Job) -> DataFrame:
     asked = job.table("lineitem").select(job.basket_item().alias("item_id")).distinct()
-    found = factors.embeddings_of(asked, "item_id", job.model.items)
+    found = factors.embeddings_of(asked, "item_id", job.items)
     return found.select("item_id", vector_text(F.col("features")).alias("vector"))
 
 
@@ -238,7 +238,7 @@ def lsh_buckets(job: Job) -> DataFrame:
 
 @query
 def lsh_neighbors(job: Job) -> DataFrame:
-    queries = job.model.items.select(F.col("item_id").alias("query_id"), "features", F.lit(TOP_K).alias("k"))
+    queries = job.items.select(F.col("item_id").alias("query_id"), "features", F.lit(TOP_K).alias("k"))
     return rounded(neighbors(job.recommender.index, queries, job.recommender.planes), "score", digits=SCORE_DIGITS)
 
 
@@ -250,19 +250,19 @@ def similar_items_all(job: Job) -> DataFrame:
 
 @query
 def basket_embeddings(job: Job) -> DataFrame:
-    vectors = basket_vectors(job.basket_lines(), job.model.items, job.model.n_factors)
+    vectors = basket_vectors(job.basket_lines(), job.items, job.config.n_factors)
     return vectors.select("basket_id", "n_known", vector_text(F.col("features")).alias("vector"))
 
 
 @query
 def popularity_topk(job: Job) -> DataFrame:
-    return rounded(popularity.most_popular(popularity.popularity_from_bias(job.model.items), 100), "score", digits=SCORE_DIGITS)
+    return rounded(popularity.most_popular(popularity.popularity_from_bias(job.items), 100), "score", digits=SCORE_DIGITS)
 
 
 @query
 def popularity_topk_excluding(job: Job) -> DataFrame:
     returned = job.table("lineitem").where("l_returnflag = 'R' AND l_quantity = 50")
-    scores = popularity.popularity_from_bias(job.model.items)
+    scores = popularity.popularity_from_bias(job.items)
     exclude = returned.select(F.col("l_partkey").alias("item_id")).distinct()
     return rounded(popularity.most_popular(scores, 100, exclude), "score", digits=SCORE_DIGITS)
 
@@ -295,7 +295,7 @@ def stream_basket_recommendations(job: Job) -> DataFrame:
     out, progress = shared_path(spark, "answers"), shared_path(spark, "progress")
     save_model(job.model, saved)
     job.requests().write.parquet(asked)
-    stream = read_requests(spark, asked, job.model.items.schema["item_id"].dataType)
+    stream = read_requests(spark, asked, job.items.schema["item_id"].dataType)
     serve(stream, load_recommender(spark, saved, job.config), out, progress).awaitTermination()
     return rounded(spark.read.parquet(f"{out}/recommendations").drop("batch"), "score", digits=SCORE_DIGITS)
 

@@ -95,18 +95,27 @@ class Job:
             .select(key, scaled.alias("features"))
         )
 
+    @cached_property
+    def users(self) -> DataFrame:
+        """Stored parameters of every user of either side: given factors, trained bias."""
+        ids = self.ids("network_userid", "user_id")
+        factors = self.given_factors(ids, "user_id", 17)
+        return stored(with_parameters(ids, "user_id", factors, self.bias.users, self.config.n_factors), "users")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """Stored parameters of every item of either side."""
+        ids = self.ids("item_id", "item_id")
+        factors = self.given_factors(ids, "item_id", 1)
+        return stored(with_parameters(ids, "item_id", factors, self.bias.items, self.config.n_factors), "items")
+
     @cached_property
     def model(self) -> FactorModel:
-        """Trained biases with given factors, for every id of either side, as stored tables."""
-        users, items = self.ids("network_userid", "user_id"), self.ids("item_id", "item_id")
-        n = self.config.n_factors
-        user_rows = with_parameters(users, "user_id", self.given_factors(users, "user_id", 17), self.bias.users, n)
-        item_rows = with_parameters(items, "item_id", self.given_factors(items, "item_id", 1), self.bias.items, n)
-        return FactorModel(self.bias.mean, stored(user_rows, "users"), stored(item_rows, "items"), n)
+        return FactorModel(self.bias.mean, self.users, self.items, self.config.n_factors)
 
     @cached_property
     def recommender(self) -> Recommender:
-        return Recommender.from_model(self.model, self.config)
+        return Recommender.from_items(self.items, self.config.n_factors, self.config)
 
     def basket_lines(self) -> DataFrame:
         """Every order is a basket. Returned lines carry an id no model knows."""

@@ -35,7 +35,7 @@ def model(spark, arrays):
 
 @pytest.fixture(scope="module")
 def recommender(model):
-    return Recommender.from_model(model, CONFIG)
+    return Recommender.from_items(model.items, D, CONFIG)
 
 
 def popular(arrays, exclude, k):
@@ -122,13 +122,15 @@ def test_popular_outside_random_exclusions(spark, arrays, recommender):
     rng = random.Random(1)
     cases = {n: (rng.randrange(1, N + 5), set(rng.sample(range(-3, N), rng.randrange(0, N)))) for n in range(60)}
     cases[60] = (5, set(popular(arrays, (), 40)))  # the whole top of the list
-    needs = spark.createDataFrame([(n, m, len(s)) for n, (m, s) in cases.items()], "q long, missing int, n_excluded long")
-    rows = [(n, i) for n, (_, s) in cases.items() for i in s]
+    needs = spark.createDataFrame(
+        [(n, 2, m, len(s)) for n, (m, s) in cases.items()], "q long, n_found long, missing int, n_excluded long"
+    )
+    rows = 2 * [(n, i) for n, (_, s) in cases.items() for i in s]
     out = popular_outside(needs, spark.createDataFrame(rows, "q long, item_id long"), recommender.popularity, "q")
     found = {}
-    for r in out.orderBy("q", "position").collect():
+    for r in out.orderBy("q", "rank").collect():
         found.setdefault(r.q, []).append(r.item_id)
-        assert r.position == len(found[r.q])
+        assert r["rank"] == 2 + len(found[r.q])
     assert found == {n: popular(arrays, s, m) for n, (m, s) in cases.items() if popular(arrays, s, m)}
 
 
