@@ -15,18 +15,18 @@ SCORE_DIGITS = 8  # scores are compared after rounding, so that equal items tie
 TILE_CELLS = 4_000_000
 
 
-def dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+def dot(left: Column, right: Column, dim: int) -> Column:
+    """Inner product, spelled out per element so that it is compiled with the rest of the stage."""
+    return sum_of([left[i] * right[i] for i in range(dim)])
 
 
-def norm(vector: Column) -> Column:
-    return F.sqrt(dot(vector, vector))
+def norm(vector: Column, dim: int) -> Column:
+    return F.sqrt(dot(vector, vector, dim))
 
 
-def cosine(left: Column, right: Column) -> Column:
+def cosine(left: Column, right: Column, dim: int) -> Column:
     """Cosine with a small constant in the norms, so that a zero vector scores 0."""
-    return dot(left, right) / ((norm(left) + EPSILON) * (norm(right) + EPSILON))
+    return dot(left, right, dim) / ((norm(left, dim) + EPSILON) * (norm(right, dim) + EPSILON))
 
 
 def zeros(dim: int) -> Column:

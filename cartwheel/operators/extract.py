@@ -19,26 +19,32 @@ def kept(events: DataFrame, config: Config) -> Column:
     )
 
 
-def windowed_purchases(events: DataFrame, config: Config) -> DataFrame:
-    """Cleaned events of the window with a date partition label and a numeric quantity."""
+def cleaned(events: DataFrame, config: Config) -> DataFrame:
+    """Kept events with their calendar date and a numeric quantity."""
     cols = config.columns
     return events.where(kept(events, config)).select(
         cols.user,
         cols.order,
         cols.item,
         F.col(cols.rating).try_cast("float").alias(cols.rating),
-        partition_label(as_date(events, cols.date)).alias("date_partition"),
+        as_date(events, cols.date).alias("_date"),
     )
 
 
+def windowed_purchases(events: DataFrame, config: Config) -> DataFrame:
+    """Cleaned events of the window with a date partition label."""
+    rows = cleaned(events, config)
+    return rows.withColumn("date_partition", partition_label(F.col("_date"))).drop("_date")
+
+
 def interactions(events: DataFrame, config: Config) -> DataFrame:
-    """Mean quantity per user, order, item and day."""
+    """Mean quantity per user, order, item and day. The day is labelled after the aggregation."""
     cols = config.columns
     return (
-        windowed_purchases(events, config)
-        .groupBy(cols.user, cols.order, cols.item, "date_partition")
+        cleaned(events, config)
+        .groupBy(cols.user, cols.order, cols.item, "_date")
         .agg(F.mean(cols.rating).alias(cols.rating))
-        .select(cols.user, cols.order, cols.item, cols.rating, "date_partition")
+        .select(cols.user, cols.order, cols.item, cols.rating, partition_label(F.col("_date")).alias("date_partition"))
     )
 
 

@@ -52,7 +52,7 @@ def predict_pairs(pairs: DataFrame, model: FactorModel, how: str = "left") -> Da
         model.mu
         + F.coalesce("_bu", F.lit(0.0))
         + F.coalesce("_bi", F.lit(0.0))
-        + F.coalesce(dot(F.col("_p"), F.col("_q")), F.lit(0.0))
+        + F.coalesce(dot(F.col("_p"), F.col("_q"), model.n_factors), F.lit(0.0))
     )
     return (
         pairs.join(users, "user_id", how)

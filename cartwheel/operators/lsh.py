@@ -96,24 +96,31 @@ def best_candidates(found: DataFrame, exclude: DataFrame | None, key: str = "que
 
 def _bucket_candidates(index: DataFrame, probes: DataFrame, key: str, block_rows: int) -> DataFrame:
     bucket = ["table_idx", "hash_key"]
+    count = lambda side, name: side.groupBy(*bucket).agg(F.count("*").alias(name))
+    cuts = lambda rows: F.ceil(F.col(rows) / block_rows).cast("int")
+
+    # Only buckets that both sides reach, and into how many blocks each side of one is cut.
+    sizes = count(index, "n_items").join(count(probes, "n_queries"), bucket)
+    plan = sizes.select(*bucket, cuts("n_items").alias("item_blocks"), cuts("n_queries").alias("query_blocks"))
+    # Pieces (one block meeting another) share shards of about block_rows rows, one task call each.
+    moved = F.sum(F.col("n_items") * cuts("n_queries") + F.col("n_queries") * cuts("n_items"))
+    parts = shuffle_partitions(index.sparkSession)
+    n_shards = sizes.agg(F.greatest(F.lit(parts), F.ceil(F.coalesce(moved, F.lit(0)) / block_rows))).scalar()
 
-    def blocks(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy(*bucket).agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
-
-    # Only buckets that both sides reach, and how finely each side of it must be cut.
-    plan = blocks(index, "n_item_blocks").join(blocks(probes, "n_query_blocks"), bucket)
-
-    def placed(side: DataFrame, identity: str, own: str, other: str, n_own: str, n_other: str) -> DataFrame:
-        return side.join(plan, bucket).select(
+    def placed(side: DataFrame, identity: str, own: str, other: str) -> DataFrame:
+        cut = side.join(plan, bucket).select(
             *[F.col(c).alias(c) for c in side.columns],  # new columns: queries may be index rows
-            F.pmod(F.xxhash64(identity), F.col(n_own)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other),
+            F.pmod(F.xxhash64(identity), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block"),
+            F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"),
+        )
+        piece = F.concat_ws("|", "table_idx", "hash_key", "query_block", "item_block")
+        return (
+            cut.withColumn("piece", piece)
+            .withColumn("shard", F.pmod(F.xxhash64("piece"), n_shards))
+            .drop(*bucket, "query_block", "item_block")
+            .repartition(parts, "shard")
         )
 
-    left = placed(probes, key, "query_block", "item_block", "n_query_blocks", "n_item_blocks")
-    right = placed(index, "item_id", "item_block", "query_block", "n_item_blocks", "n_query_blocks")
-    cell = [*bucket, "query_block", "item_block"]
-    parts = shuffle_partitions(index.sparkSession)
     schema = T.StructType(
         [
             probes.schema[key],
@@ -122,26 +129,38 @@ def _bucket_candidates(index: DataFrame, probes: DataFrame, key: str, block_rows
             T.StructField("k", T.IntegerType()),
         ]
     )
-    return (
-        left.repartition(parts, *cell)
-        .groupBy(*cell)
-        .cogroup(right.repartition(parts, *cell).groupBy(*cell))
-        .applyInArrow(_bucket_scorer(key), schema)
-    )
+    left = placed(probes, key, "query", "item")
+    right = placed(index, "item_id", "item", "query")
+    return left.groupBy("shard").cogroup(right.groupBy("shard")).applyInArrow(_piece_scorer(key), schema)
 
 
-def _bucket_scorer(key: str):
+def _piece_scorer(key: str):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, cols, values = [], [], []
         if len(left) and len(right):
             right = right.take(pc.sort_indices(right["item_id"]))
+            pieces = pc.unique(right["piece"])
             queries, items = unit_rows(as_matrix(left["features"])), unit_rows(as_matrix(right["features"]))
-            row, col, value = top_products(queries, items, left["fetch"].to_numpy())
-        else:
-            row, col, value = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        row = pa.array(row)
+            limits = left["fetch"].to_numpy()
+            for q, i in zip(_rows_by_piece(left["piece"], pieces), _rows_by_piece(right["piece"], pieces)):
+                row, col, value = top_products(queries[q], items[i], limits[q])
+                rows.append(q[row])
+                cols.append(i[col])
+                values.append(value)
+        row = pa.array(np.concatenate([np.empty(0, np.int64), *rows]))
+        col = pa.array(np.concatenate([np.empty(0, np.int64), *cols]))
+        value = pa.array(np.concatenate([np.empty(0), *values]))
         return pa.table(
-            [left[key].take(row), right["item_id"].take(pa.array(col)), pa.array(value), left["k"].take(row)],
+            [left[key].take(row), right["item_id"].take(col), value, left["k"].take(row)],
             names=[key, "item_id", "score", "k"],
         )
 
     return score
+
+
+def _rows_by_piece(column: pa.ChunkedArray, pieces: pa.Array) -> list[np.ndarray]:
+    """Row numbers of every piece, in row order."""
+    code = pc.fill_null(pc.index_in(column, value_set=pieces), -1).to_numpy()
+    order = np.argsort(code, kind="stable")
+    bounds = np.searchsorted(code[order], np.arange(len(pieces) + 1))
+    return [order[lo:hi] for lo, hi in zip(bounds, bounds[1:])]

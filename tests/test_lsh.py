@@ -91,7 +91,7 @@ def test_zero_vector_meets_only_the_all_zero_bucket(spark, items, vectors):
 
 def test_cosine_column_agrees(items, vectors):
     one = F.array(*[F.lit(float(x)) for x in vectors[3]])
-    got = {r.item_id: r.c for r in items.select("item_id", cosine(F.col("features"), one).alias("c")).collect()}
+    got = {r.item_id: r.c for r in items.select("item_id", cosine(F.col("features"), one, D).alias("c")).collect()}
     unit = lambda x: x / (np.linalg.norm(x) + EPSILON)
     assert [got[i] for i in range(N)] == pytest.approx([float(unit(v) @ unit(vectors[3])) for v in vectors])
 
