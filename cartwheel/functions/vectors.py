@@ -76,7 +76,7 @@ def top_products(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The `limits[q]` largest inner products of every query row: (query, item, score).
 
-    Equal scores keep item order. `masked` lists (query, item) cells that must not be returned.
+    Scores are rounded, and equal scores keep item order. `masked` lists (query, item) cells that must not be returned.
     """
     by_limit = np.argsort(limits, kind="stable")
     height = max(1, TILE_CELLS // max(1, len(items)))
@@ -88,7 +88,7 @@ def top_products(
     found = []
     for start in range(0, len(queries), height):
         tile = by_limit[start : start + height]
-        scores = np.round(queries[tile] @ items.T, SCORE_DIGITS) + 0.0
+        scores = queries[tile] @ items.T
         if masked is not None:
             lo, hi = np.searchsorted(mask_rows, [start, start + len(tile)])
             scores[mask_rows[lo:hi] - start, mask_cols[lo:hi]] = -np.inf
@@ -104,9 +104,11 @@ def _top_cells(scores: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.n
     most = int(min(max(limits.max(), 0), width)) if len(limits) else 0
     if most == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    # Rounding keeps the order, so whatever ranks among the first after rounding lies at most one
+    # rounding step below the last of them; only those few cells are rounded and sorted.
     floor = np.partition(scores, width - most, axis=1)[:, width - most]
-    row, col = np.nonzero(scores >= floor[:, None])
-    score = scores[row, col]
+    row, col = np.nonzero(scores >= floor[:, None] - 1.5 * 10**-SCORE_DIGITS)
+    score = np.round(scores[row, col], SCORE_DIGITS) + 0.0
     order = np.lexsort((col, -score, row))
     row, col, score = row[order], col[order], score[order]
     position = np.arange(len(row)) - np.searchsorted(row, np.arange(len(limits)))[row]

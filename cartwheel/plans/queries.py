@@ -22,7 +22,7 @@ from cartwheel.session import shared_path
 from cartwheel.sources.artifacts import load_recommender, save_model
 from cartwheel.sources.partitions import read_partitions, write_partitions
 from cartwheel.sources.purchases import read_purchases_csv
-from cartwheel.streaming.requests import read_requests, serve
+from cartwheel.streaming.requests import parse_requests, read_requests, serve
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,8 +274,10 @@ def basket_recommendations(job: Job) -> DataFrame:
 
 @query
 def basket_responses(job: Job) -> DataFrame:
-    """Responses read back from their JSON form."""
-    answered = responses(job.requests(), job.recommender)
+    """Requests and responses in their JSON form; a request for the usual number names none."""
+    asked = job.requests().withColumn("top_k", F.nullif("top_k", F.lit(BASKET_K)))
+    texts = asked.select("basket_id", F.to_json(F.struct("basket", "top_k")).alias("value"))
+    answered = responses(parse_requests(texts, job.items.schema["item_id"].dataType), job.recommender)
     shape = "struct<basket: array<bigint>, recommendations: array<struct<item_id: bigint, score: double>>>"
     body = F.from_json("response", shape)
     return answered.select(

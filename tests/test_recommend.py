@@ -4,14 +4,15 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.config import Config
 from cartwheel.functions.vectors import EPSILON, hyperplanes
 from cartwheel.operators.factors import FactorModel
 from cartwheel.operators.popularity import most_popular, popular_outside, ranked_popularity
-from cartwheel.operators.recommend import Recommender, recommend_baskets, responses, similar_items
+from cartwheel.operators.recommend import Recommender, recommend_baskets, request_error, responses, similar_items
 from cartwheel.sources.artifacts import load_model, load_recommender, save_model
-from cartwheel.streaming.requests import read_requests, serve
+from cartwheel.streaming.requests import parse_requests, read_requests, serve
 
 N, D = 80, 4
 CONFIG = Config(n_factors=D, n_hash_tables=3, n_hash_functions=4)
@@ -110,6 +111,15 @@ def test_responses_and_errors(spark, recommender, arrays):
     assert json.loads(got[5].response)["recommendations"] == []
 
 
+def test_requests_from_json(spark):
+    bodies = ['{"basket": [1, 2], "top_k": 3}', '{"basket": [1]}', '{"basket": [1], "top_k": null}', '{"top_k": 2}', "no json", '{"basket": []}']
+    texts = spark.createDataFrame(list(enumerate(bodies)), "basket_id long, value string")
+    rows = parse_requests(texts, T.LongType()).withColumn("error", request_error()).orderBy("basket_id").collect()
+    assert [(r.basket, r.top_k, r.error is None) for r in rows] == [
+        ([1, 2], 3, True), ([1], 5, True), ([1], None, False), (None, 2, False), (None, 5, False), ([], 5, True)
+    ]
+
+
 def test_similar_items(spark, recommender, arrays):
     asked = spark.createDataFrame([(i, 4) for i in (0, 7, 33, 900, 0)], "query_id long, k int")
     found = listed(similar_items(asked, recommender), "query_id")

@@ -10,8 +10,9 @@ from cartwheel.operators.evaluate import heldout_rmse
 from cartwheel.operators.factors import fit_factor_model
 from cartwheel.operators.gradient import Plateau, fit_gradient, initial_parameters
 from cartwheel.operators.index import id_index
+from cartwheel.operators.recommend import recommend_baskets
 from cartwheel.plans.stages import evaluate_stage, extract_stage, select_stage, train_stage
-from cartwheel.sources.artifacts import read_metrics
+from cartwheel.sources.artifacts import load_recommender, read_metrics
 
 USERS, ITEMS, D = 12, 9, 3
 
@@ -140,6 +141,10 @@ def test_stages_end_to_end(spark, tmp_path, method):
     assert row.num_users_evaluated == 10 and "/eval_" in path
     assert select_stage(spark, config, trained) is True  # none before
     assert select_stage(spark, config, trained) is False  # equal is not better
+    served = load_recommender(spark, f"{config.latest_model_dir}/model", config)
+    asked = spark.createDataFrame([(1, ["i1", "i2", "none"], 4), (2, ["none"], 4)], "basket_id long, basket array<string>, top_k int")
+    recs = recommend_baskets(asked, served).collect()
+    assert len(recs) == 8 and not {r.item_id for r in recs if r.basket_id == 1} & {"i1", "i2", "none"}
     names = {r.name for r in read_metrics(spark, f"{config.checkpoint_base}/run_metrics").collect()}
     assert "test_rmse" in names and (method == "als" or "learning_rate" in names)
 
