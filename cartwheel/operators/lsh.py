@@ -51,9 +51,9 @@ def neighbors(
     return neighbors_of_keyed(index, keyed_queries(queries, planes), exclude, key, block_rows)
 
 
-def keyed_queries(queries: DataFrame, planes: np.ndarray) -> DataFrame:
+def keyed_queries(queries: DataFrame, planes: np.ndarray, work: str | None = None) -> DataFrame:
     """Queries with their keys, stored: bucket sizes are counted before the buckets are met."""
-    return stored(with_keys(queries, planes), "queries")
+    return stored(with_keys(queries, planes), "queries", work)
 
 
 def neighbors_of_keyed(

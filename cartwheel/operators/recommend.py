@@ -61,18 +61,18 @@ def basket_lines(requests: DataFrame) -> DataFrame:
     return requests.select("basket_id", "top_k", F.explode_outer("basket").alias("item_id"))
 
 
-def recommend_for_lines(lines: DataFrame, recommender: Recommender) -> DataFrame:
+def recommend_for_lines(lines: DataFrame, recommender: Recommender, work: str | None = None) -> DataFrame:
     """(basket_id, rank, item_id, score, source) for lines (basket_id, item_id, top_k).
 
     Neighbours of the mean vector come first, then popular items fill up to top_k on their own
     scale. Nothing that is in the basket is returned. The neighbours are stored: the fill needs
-    their number and their items besides the result itself.
+    their number and their items besides the result itself. `work` is a folder for such tables.
     """
     counts = [F.max("top_k").cast("int").alias("k"), F.count("item_id").alias("n_lines")]
     vectors = basket_vectors(lines, recommender.items, recommender.n_factors, *counts)
-    queries = keyed_queries(vectors.withColumnRenamed("n_known", "n_excluded"), recommender.planes)
+    queries = keyed_queries(vectors.withColumnRenamed("n_known", "n_excluded"), recommender.planes, work)
     in_basket = lines.where(F.col("item_id").isNotNull()).select("basket_id", "item_id")
-    similar = stored(neighbors_of_keyed(recommender.index, queries, in_basket, "basket_id"), "similar")
+    similar = stored(neighbors_of_keyed(recommender.index, queries, in_basket, "basket_id"), "similar", work)
 
     found = similar.groupBy("basket_id").agg(F.count("*").alias("n_found"))
     n_found = F.coalesce("n_found", F.lit(0))
@@ -87,16 +87,16 @@ def recommend_for_lines(lines: DataFrame, recommender: Recommender) -> DataFrame
         )
     )
     taken = in_basket.unionByName(similar.select("basket_id", "item_id"))
-    fill = popular_outside(stored(needs, "needs"), taken, recommender.popularity, "basket_id")
+    fill = popular_outside(stored(needs, "needs", work), taken, recommender.popularity, "basket_id")
     return similar.withColumn("source", F.lit("similarity")).unionByName(
         fill.withColumn("source", F.lit("popularity"))
     )
 
 
-def recommend_baskets(requests: DataFrame, recommender: Recommender) -> DataFrame:
+def recommend_baskets(requests: DataFrame, recommender: Recommender, work: str | None = None) -> DataFrame:
     """Recommendations for requests (basket_id, basket, top_k) that pass `request_error`."""
     valid = requests.where(request_error().isNull())
-    return recommend_for_lines(basket_lines(valid), recommender)
+    return recommend_for_lines(basket_lines(valid), recommender, work)
 
 
 def request_error() -> Column:

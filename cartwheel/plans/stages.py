@@ -64,8 +64,9 @@ def train_stage(spark: SparkSession, config: Config, run_id: str, method: str =
     save_model(fitted, f"{path}/model")
     model = load_model(spark, f"{path}/model")
     error = heldout_rmse(model, test).first()
-    test_rmse = error["rmse"] if error["n_pairs"] else math.inf  # a run without metrics never wins
-    row = spark.createDataFrame([(run_id, config.epochs, test_rmse)], "run_id string, step int, test_rmse double")
+    # Without test pairs there are no metrics: the error is infinite and no epoch counts.
+    test_rmse, step = (error["rmse"], config.epochs) if error["n_pairs"] else (math.inf, 0)
+    row = spark.createDataFrame([(run_id, step, test_rmse)], "run_id string, step int, test_rmse double")
     row.write.mode("overwrite").json(f"{path}/metrics")
     append_metrics(metrics_long(row, "run_id", "step", ["test_rmse"]), log)
     return Trained(model, test, test_rmse, path)
@@ -83,9 +84,8 @@ def select_stage(spark: SparkSession, config: Config, trained: Trained) -> bool:
     latest = config.latest_model_dir
     try:
         read_table(spark, f"{latest}/model/mean")
-        previous = spark.read.json(f"{latest}/metrics")
-        known = previous.first()["test_rmse"] if "test_rmse" in previous.columns else None
-        better = trained.test_rmse < (math.inf if known is None else known)
+        previous = spark.read.schema("test_rmse double").json(f"{latest}/metrics").first()["test_rmse"]
+        better = trained.test_rmse < (math.inf if previous is None else previous)
     except FileNotFoundError:
         better = True
     if better:

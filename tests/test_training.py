@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -141,6 +142,10 @@ def test_stages_end_to_end(spark, tmp_path, method):
     assert row.num_users_evaluated == 10 and "/eval_" in path
     assert select_stage(spark, config, trained) is True  # none before
     assert select_stage(spark, config, trained) is False  # equal is not better
+    assert select_stage(spark, config, replace(trained, test_rmse=math.inf)) is False
+    first = replace(config, latest_model_dir=str(tmp_path / "first"))
+    assert select_stage(spark, first, replace(trained, test_rmse=math.inf)) is True
+    assert select_stage(spark, first, trained) is True  # anything beats a run without metrics
     served = load_recommender(spark, f"{config.latest_model_dir}/model", config)
     asked = spark.createDataFrame([(1, ["i1", "i2", "none"], 4), (2, ["none"], 4)], "basket_id long, basket array<string>, top_k int")
     recs = recommend_baskets(asked, served).collect()
