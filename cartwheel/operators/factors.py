@@ -12,7 +12,7 @@ from cartwheel.config import Config
 from cartwheel.functions.vectors import dot, zeros
 from cartwheel.operators.bias import BiasModel, fit_bias
 from cartwheel.operators.ratings import training_triples
-from cartwheel.session import shared_dir
+from cartwheel.session import shared_dir, stored
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,8 @@ def _decoded(factors: DataFrame, index: DataFrame, key: str, position: str) -> D
 def fit_factor_model(
     ratings: DataFrame, user_index: DataFrame, item_index: DataFrame, config: Config, max_iter: int | None = None
 ) -> tuple[FactorModel, BiasModel]:
-    """Biases by aggregation, then ALS on what they leave unexplained."""
-    bias = fit_bias(ratings, config.bias_damping)
+    """Biases by aggregation, then ALS on what they leave unexplained; the parameters are stored."""
+    bias = fit_bias(ratings, config.bias_damping, keep=True)
     residuals = residual_ratings(ratings, bias)
     als = fit_als(
         training_triples(residuals, user_index, item_index),
@@ -97,15 +97,12 @@ def fit_factor_model(
         reg=config.reg_lambda,
         nonnegative=False,
     )
+    n = config.n_factors
     users = _decoded(als.userFactors, user_index, "user_id", "user_idx")
     items = _decoded(als.itemFactors, item_index, "item_id", "item_idx")
-    model = FactorModel(
-        bias.mean,
-        with_parameters(user_index, "user_id", users, bias.users, config.n_factors),
-        with_parameters(item_index, "item_id", items, bias.items, config.n_factors),
-        config.n_factors,
-    )
-    return model, bias
+    users = stored(with_parameters(user_index, "user_id", users, bias.users, n), "users")
+    items = stored(with_parameters(item_index, "item_id", items, bias.items, n), "items")
+    return FactorModel(bias.mean, users, items, n), bias
 
 
 def residual_ratings(ratings: DataFrame, bias: BiasModel) -> DataFrame:

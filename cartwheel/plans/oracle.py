@@ -514,7 +514,7 @@ SELECT a.item_id, CAST(pop_rank AS INT), p.item_id, round(score, 8), 'popularity
     "popularity_topk_excluding": sql(
         "popularity",
         """SELECT item_id, round(score, 8) AS score FROM popularity
- WHERE item_id NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity = 50)
+ WHERE item_id NOT IN (SELECT p_partkey FROM part WHERE p_brand IN ('Brand#1', 'Brand#2'))
  ORDER BY pop_rank LIMIT 100""",
     ),
     "basket_recommendations": sql("order_recs", RECS.format("order")),

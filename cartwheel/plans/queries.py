@@ -261,9 +261,8 @@ def popularity_topk(job: Job) -> DataFrame:
 
 @query
 def popularity_topk_excluding(job: Job) -> DataFrame:
-    returned = job.table("lineitem").where("l_returnflag = 'R' AND l_quantity = 50")
     scores = popularity.popularity_from_bias(job.items)
-    exclude = returned.select(F.col("l_partkey").alias("item_id")).distinct()
+    exclude = job.table("part").where("p_brand IN ('Brand#1', 'Brand#2')").select(F.col("p_partkey").alias("item_id"))
     return rounded(popularity.most_popular(scores, 100, exclude), "score", digits=SCORE_DIGITS)
 
 
