@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BLOCK_BYTES = 2 << 20
 BATCH_ROWS = 2_000
@@ -137,13 +138,9 @@ def hash_bytes(values: list[bytes]) -> np.ndarray:
     return Hasher(np.frombuffer(b"".join(values), np.uint8)).spans(starts, ends) if values else np.zeros(0, np.uint64)
 
 
-def replaced(rows: pa.RecordBatch, names: list[str], columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
-    """The named columns of the rows, then new columns, in the types of the schema."""
-    values = [rows.column(rows.schema.get_field_index(n)) for n in names] + list(columns.values())
-    arrays = [
-        v.cast(f.type) if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for v, f in zip(values, schema, strict=True)
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+def with_fields(frame: DataFrame, fields: str) -> StructType:
+    """The schema of the frame and further columns, which may be null."""
+    return StructType([*frame.schema.fields, *StructType.fromDDL(fields).fields])
 
 
 def fold(key: Column, parts: int) -> Column:
@@ -151,27 +148,22 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label: str, train: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, text and label of the training documents.
+def bounded_sample(
+    documents: DataFrame, labels: DataFrame, label: str, train: Column, max_rows: int, max_bytes: int, key: str = "doc_id", text: str = "text"
+) -> pa.Table:
+    """Columns text and label: at most so many rows and bytes of whole labelled training texts.
 
-    A document without label or with a null one is left out; of contradicting rows the higher counts.
+    Only training reads a sample; it takes the documents in the order of a hash of their ids. A document
+    without label or with a null one is left out; of contradicting rows the higher counts. Ids and
+    lengths are joined first, so that no text is shuffled; then at most max_rows ids, which is what bounds
+    the broadcast, pick their texts.
     """
-    marks = labels.where(F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("_label"))
-    return documents.where(train).select(key, text).join(marks, key).select(key, text, "_label")
-
-
-def bounded_sample(rows: DataFrame, key: str, text: str, label: str, max_rows: int, max_bytes: int) -> pa.Table:
-    """At most so many rows and bytes of whole texts, in the order of a hash of the key and text.
-
-    Only training reads a sample. Lengths come first, so that the driver never receives more.
-    """
-    hashed = rows.withColumn("_order", F.xxhash64(F.col(key), F.lit(17), F.col(text)))
-    sized = hashed.select("_order", F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"))
-    order = sized.orderBy("_order", "_bytes").limit(max_rows).toArrow()
-    sizes = np.cumsum(order["_bytes"].to_numpy())
-    fit = int(np.searchsorted(sizes, max_bytes, "right"))
-    if not fit:
-        return hashed.select(text, label).limit(0).toArrow()
-    last = order["_order"][fit - 1].as_py()
-    chosen = hashed.where(F.col("_order") <= last).orderBy("_order").limit(max_rows)
-    return chosen.select(F.col(text).alias("text"), F.col(label).alias("label")).toArrow()
+    marks = labels.where(F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    sizes = documents.where(train).select(key, F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"))
+    found = sizes.join(marks, key).select(F.col(key).alias("key"), "label", "_bytes", F.xxhash64(key, F.lit(17)).alias("_order"))
+    first = found.orderBy("_order", "key", "_bytes").limit(max_rows).toArrow()
+    fit = int(np.searchsorted(np.cumsum(first["_bytes"].to_numpy()), max_bytes, "right"))
+    chosen = first.slice(0, fit).select(["key", "label", "_order"]).group_by("key").aggregate([("label", "max"), ("_order", "max")])
+    picked = documents.sparkSession.createDataFrame(chosen).toDF("_key", "label", "_order")
+    texts = documents.where(train).select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key")
+    return texts.orderBy("_order", "_key", F.octet_length("text")).limit(fit).select("text", "label").toArrow()

@@ -18,9 +18,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from cartwheel.llm.blocks import Block, arrow_batches, blocks, bounded_sample, labelled
+from cartwheel.llm.blocks import Block, arrow_batches, blocks, bounded_sample, with_fields
 
 WIDTH = 6
 FILTERS = 8
@@ -143,8 +142,7 @@ def backward(rows: np.ndarray, counts: np.ndarray, labels: np.ndarray, network:
 
 def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, label: str = "quality", settings: Settings | None = None) -> Network:
     settings = settings or Settings()
-    rows = labelled(documents, labels, label, train_rows)
-    return train(bounded_sample(rows, "doc_id", "text", "_label", settings.max_rows, settings.max_bytes), settings)
+    return train(bounded_sample(documents, labels, label, train_rows, settings.max_rows, settings.max_bytes), settings)
 
 
 def score(documents: DataFrame, network: Network, text: str = "text") -> DataFrame:
@@ -158,4 +156,4 @@ def score(documents: DataFrame, network: Network, text: str = "text") -> DataFra
         for block in blocks(batches, text):
             yield block.rows.append_column("quality", pa.array(block_scores(block, model)))
 
-    return documents.mapInArrow(scored, documents.withColumn("quality", F.lit(0.0)).schema)
+    return documents.mapInArrow(scored, with_fields(documents, "quality double"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import exactdup, langmix, quality, toxicity
+from cartwheel.llm import decontam, exactdup, langmix, licenses, mixing, pieces, quality, setsketch, toxicity
 from cartwheel.llm.blocks import fold
+from cartwheel.llm.lattice import Vocabulary
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +24,35 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").cast("long").alias("n_items"),
+        F.array_join(F.transform("leaks", lambda x: x["item_id"].cast("string")), ",").alias("item_ids"),
+        F.array_min(F.transform("leaks", lambda x: x["errors"])).alias("min_errors"),
+    )
+
+
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.digest(licenses.scan(documents, licenses.build_index(documents)))
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    documents, vocabulary = table(spark, folder, "documents").select("doc_id", "text"), Vocabulary.load(pieces.MODEL)
+    decoded = pieces.decode(pieces.encode(documents, vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.coalesce(F.array_size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "score",
+        F.transform("nbest", lambda x: x["score"]).alias("other_scores"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -33,10 +63,28 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.count(documents, Vocabulary.load(pieces.MODEL)).select("doc_id", "n_tokens", "n_pretokens")
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    scored = mixing.scores(documents, ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.groups(table(spark, folder, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
 def op10_languages(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -44,4 +92,18 @@ def op10_languages(spark: SparkSession, folder: str) -> DataFrame:
     return langmix.identify(documents, languages).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
 
 
-QUERIES = {q.__name__: q for q in (op1_toxicity, op5_quality, op8_exact_dedup, op10_languages)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_toxicity,
+        op2_decontamination,
+        op3_licenses,
+        op4_sentencepiece,
+        op5_quality,
+        op6_token_counts,
+        op7_mixing,
+        op8_exact_dedup,
+        op9_near_dedup,
+        op10_languages,
+    )
+}

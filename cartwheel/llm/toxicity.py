@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.blocks import LOWER, WORD, Block, Hasher, arrow_batches, blocks, bounded_sample, labelled, mixed, runs
+from cartwheel.llm.blocks import LOWER, WORD, Block, Hasher, arrow_batches, blocks, bounded_sample, mixed, runs, with_fields
 
 BITS = 20
 THRESHOLD = 0.5
@@ -39,8 +39,8 @@ class Settings:
     l2: float = 0.0
     epochs: int = 4
     min_texts: int = 4
-    max_rows: int = 16_000
-    max_bytes: int = 64 << 20
+    max_rows: int = 10_000
+    max_bytes: int = 36 << 20
 
 
 @dataclass(frozen=True)
@@ -78,15 +78,17 @@ def distinct(text: np.ndarray, bucket: np.ndarray, bits: int) -> tuple[np.ndarra
 
 def train(sample: pa.Table, settings: Settings) -> Weights:
     """Pass over the sample with the FTRL-proximal update, one document at a time."""
-    documents, labels = [], sample["label"].to_pylist()
-    for block in blocks(iter(sample.select(["text"]).to_batches())):
-        text, bucket = distinct(*features(block, settings.bits), settings.bits)
-        documents += np.split(bucket.astype(np.int32), np.searchsorted(text, np.arange(1, block.size)))
+    texts, labels = sample.select(["text"]).to_batches(), sample["label"].to_pylist()
     size = 1 << settings.bits
     seen = np.zeros(size, np.int32)
-    for own in documents:
-        seen[own] += 1
-    documents = [own[seen[own] >= settings.min_texts] for own in documents]
+    for block in blocks(iter(texts)):
+        seen += np.bincount(distinct(*features(block, settings.bits), settings.bits)[1], minlength=size).astype(np.int32)
+    documents = []
+    for block in blocks(iter(texts)):
+        text, bucket = features(block, settings.bits)
+        admitted = seen[bucket] >= settings.min_texts
+        text, bucket = distinct(text[admitted], bucket[admitted], settings.bits)
+        documents += np.split(bucket.astype(np.int32), np.searchsorted(text, np.arange(1, block.size)))
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     for _ in range(settings.epochs if documents else 0):
         for own, label in zip(documents, labels, strict=True):
@@ -110,8 +112,7 @@ def proximal(z: np.ndarray, n: np.ndarray, settings: Settings) -> np.ndarray:
 def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, label: str = "toxic", settings: Settings | None = None) -> Weights:
     """Learn from the labelled documents among the training rows."""
     settings = settings or Settings()
-    rows = labelled(documents, labels, label, train_rows)
-    return train(bounded_sample(rows, "doc_id", "text", "_label", settings.max_rows, settings.max_bytes), settings)
+    return train(bounded_sample(documents, labels, label, train_rows, settings.max_rows, settings.max_bytes), settings)
 
 
 def block_scores(block: Block, table: np.ndarray, intercept: float, bits: int) -> np.ndarray:
@@ -134,7 +135,7 @@ def score(documents: DataFrame, weights: Weights, text: str = "text") -> DataFra
         for block in blocks(batches, text):
             yield block.rows.append_column("toxicity", pa.array(block_scores(block, table, model.intercept, model.bits)))
 
-    return documents.mapInArrow(scored, documents.withColumn("toxicity", F.lit(0.0)).schema)
+    return documents.mapInArrow(scored, with_fields(documents, "toxicity double"))
 
 
 def without_toxic(documents: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:

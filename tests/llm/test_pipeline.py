@@ -1,0 +1,70 @@
+"""The pipeline against plain Python for every stage that has an exact answer."""
+
+import random
+
+import corpus_pipeline
+from helpers_llm import prose, table, write
+from test_decontam import distance_within
+from test_setsketch import brute, edited
+
+from cartwheel.llm import decontam
+
+
+def test_stages_decide_on_planted_cases(spark, tmp_path):
+    rng = random.Random(9)
+    items = [prose(rng, 25) for _ in range(4)]
+    base = [prose(rng, 60) for _ in range(120)]
+    toxic = [f"{prose(rng, 20)} scum {prose(rng, 20)}" for _ in range(60)]
+    copies = [base[i].replace(" ", "\n") for i in range(10)]
+    near = [edited(rng, base[i], 0.02) for i in range(20, 30)]
+    leaks = [prose(rng, 20) + " " + item.upper() for item in items]
+    odd = [None, None, "", " ", "x", "x", "w " * 50_000]
+    texts = base + toxic + copies + near + leaks + odd
+    labels = [(i, 1, int(120 <= i < 180)) for i in range(180)]
+    folder = write(
+        spark,
+        tmp_path,
+        documents=table(spark, texts, ["1 AS component", "'x' AS leaks", "2 AS toxicity"]),
+        labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        benchmark=spark.createDataFrame(list(enumerate(items)), "item_id long, text string"),
+    )
+    docs = spark.read.parquet(f"{folder}/documents.parquet").drop("toxicity")
+    columns = docs.columns
+    left = {}
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = f"{tmp_path}/stage{number}"
+        stage(spark, docs, folder).write.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        if name != "sentencepiece":
+            assert docs.columns == columns
+        left[name] = {r["doc_id"]: r["text"] if name != "sentencepiece" else r["round_trip"] for r in docs.collect()}
+        given = [(r["doc_id"], r["text"]) for r in before.collect()] if name != "sentencepiece" else []
+        if name == "exact_dedup":
+            firsts = {}
+            for i, t in sorted(given):
+                firsts.setdefault(" ".join(f"<{t or ''}>".split()), i)
+            assert set(left[name]) == set(firsts.values())
+        if name == "near_dedup":
+            assert set(left[name]) == {i for i, (_, c) in brute(given, 80).items() if i == c}
+        if name == "decontamination":
+            plain = [decontam.plain(x) for x in items]
+            clean = {i for i, t in given if all(distance_within(x, decontam.plain(t or "")[:3_000] + " ") > int(0.05 * len(x)) for x in plain)}
+            assert set(left[name]) == clean
+    gone = set(range(len(texts))) - set(left["toxicity"])
+    assert len(gone & set(range(120, 180))) >= 55 and len(gone - set(range(120, 180))) <= 3
+    assert all(left["sentencepiece"].values()) and set(left["sentencepiece"]) == set(left["decontamination"])
+
+
+def test_run_on_the_smallest_tables_and_an_empty_one(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    out = corpus_pipeline.run(spark, folder)
+    assert 0 < out.count() < spark.read.parquet(f"{folder}/documents.parquet").count()
+    assert out.where("NOT round_trip").count() == 0
+    empty = write(
+        spark,
+        tmp_path,
+        documents=table(spark, []),
+        labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"),
+        benchmark=spark.createDataFrame([], "item_id long, text string"),
+    )
+    assert corpus_pipeline.run(spark, empty).count() == 0
