@@ -26,7 +26,7 @@ class Config:
     # Defaults of the shipped parameter file.
     data_path: str = "purchases.csv"
     end_date: str = "2025-09-10"
-    num_days: int = 31
+    num_days: int | None = 31
     test_fraction: float = 0.2
     output_base: str = "model_data"
     train_base: str = "model_train"
@@ -42,7 +42,9 @@ class Config:
     n_hash_tables: int = 5
     n_hash_functions: int = 10
     lsh_seed: int = 42
-    eval_sample_users: int = 500
+
+    # Ours: all test users are evaluated unless a sample is asked for; None for num_days takes every date.
+    eval_sample_users: int | None = None
 
     # Ours: shrinkage of the user and item means in the bias model.
     bias_damping: float = 10.0
@@ -55,6 +57,6 @@ class Config:
             ini.read_file(handle)
         values = {key: value for section in ini.sections() for key, value in ini.items(section)}
         names = {f.name: values[f"{f.name}_col"] for f in fields(Columns) if f"{f.name}_col" in values}
-        cast = {"int": int, "float": float, "str": str}
+        cast = {"int": int, "float": float, "str": str, "int | None": lambda x: int(x) if x.strip() else None}
         own = {f.name: cast[f.type](values[f.name]) for f in fields(cls) if f.type in cast and f.name in values}
         return replace(cls(columns=Columns(**names)), **own)

@@ -18,11 +18,13 @@ def window_start(end_date: str, num_days: int) -> Column:
     return F.date_sub(F.lit(end_date).cast("date"), num_days - 1)
 
 
-def in_date_window(df: DataFrame, name: str, end_date: str, num_days: int) -> Column:
-    """The last `num_days` calendar days up to and including `end_date`.
+def in_date_window(df: DataFrame, name: str, end_date: str, num_days: int | None) -> Column:
+    """The last `num_days` calendar days up to and including `end_date`, or with None every date.
 
     A timestamp is compared as it is stored, so the range reaches the Parquet scan.
     """
+    if num_days is None:
+        return as_date(df, name).isNotNull()
     start, end = window_start(end_date, num_days), F.lit(end_date).cast("date")
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):

@@ -50,14 +50,19 @@ def interactions(events: DataFrame, config: Config) -> DataFrame:
 
 def extraction_audit(events: DataFrame, config: Config) -> DataFrame:
     """One row: events read, events kept, their share, interactions made."""
-    flags = events.select(kept(events, config).alias("kept"))
-    counted = flags.agg(F.count("*").alias("initial_count"), F.count_if("kept").alias("filtered_count"))
-    made = interactions(events, config).agg(F.count("*"))
+    cols = config.columns
+    group = F.struct(cols.user, cols.order, cols.item, as_date(events, cols.date).alias("day"))
+    flags = events.select(kept(events, config).alias("kept"), group.alias("group"))
+    counted = flags.agg(
+        F.count("*").alias("initial_count"),
+        F.count_if("kept").alias("filtered_count"),
+        F.count_distinct(F.when(F.col("kept"), F.col("group"))).alias("aggregated_count"),
+    )
     return counted.select(
         "initial_count",
         "filtered_count",
         F.round(percent(F.col("filtered_count"), F.col("initial_count")), 6).alias("filtered_pct"),
-        made.scalar().alias("aggregated_count"),
+        "aggregated_count",
     )
 
 

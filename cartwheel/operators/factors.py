@@ -12,7 +12,7 @@ from cartwheel.config import Config
 from cartwheel.functions.vectors import dot, zeros
 from cartwheel.operators.bias import BiasModel, fit_bias
 from cartwheel.operators.ratings import training_triples
-from cartwheel.session import shared_dir, stored
+from cartwheel.session import shared_dir, shuffle_partitions, stored
 
 
 @dataclass(frozen=True)
@@ -63,9 +63,18 @@ def predict_pairs(pairs: DataFrame, model: FactorModel, how: str = "left") -> Da
 
 
 def fit_als(triples: DataFrame, rank: int, max_iter: int, reg: float, nonnegative: bool, seed: int = 42) -> ALSModel:
-    """MLlib ALS over (user_idx, item_idx, rating), lineage cut every second iteration."""
+    """MLlib ALS over (user_idx, item_idx, rating), lineage cut every second iteration.
+
+    There are as many blocks of users and of items as shuffle partitions, so that training spreads over
+    the cluster; one item's ratings still meet in one task.
+    """
     shared_dir(triples.sparkSession)
+    blocks = max(10, shuffle_partitions(triples.sparkSession))
     return ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
+        intermediateStorageLevel="MEMORY_AND_DISK",
+        finalStorageLevel="MEMORY_AND_DISK",
         rank=rank,
         maxIter=max_iter,
         regParam=reg,

@@ -93,10 +93,27 @@ def recommend_for_lines(lines: DataFrame, recommender: Recommender, work: str |
     )
 
 
-def recommend_baskets(requests: DataFrame, recommender: Recommender, work: str | None = None) -> DataFrame:
-    """Recommendations for requests (basket_id, basket, top_k) that pass `request_error`."""
+def numbered(requests: DataFrame, work: str | None = None) -> DataFrame:
+    """The requests, stored with a number of their own as `request`: ids may repeat among them."""
+    return stored(requests.withColumn("request", F.monotonically_increasing_id()), "requests", work)
+
+
+def recommend_numbered(requests: DataFrame, recommender: Recommender, work: str | None = None) -> DataFrame:
+    """(request, rank, item_id, score, source) for numbered requests that pass `request_error`."""
     valid = requests.where(request_error().isNull())
-    return recommend_for_lines(basket_lines(valid), recommender, work)
+    asked = valid.select(F.col("request").alias("basket_id"), "basket", "top_k")
+    return recommend_for_lines(basket_lines(asked), recommender, work).withColumnRenamed("basket_id", "request")
+
+
+def recommend_baskets(requests: DataFrame, recommender: Recommender, work: str | None = None) -> DataFrame:
+    """Recommendations for requests (basket_id, basket, top_k) that pass `request_error`.
+
+    Every row is a request of its own, also where two have the same id; `request` tells them apart.
+    """
+    rows = numbered(requests, work)
+    return rows.select("basket_id", "request").join(recommend_numbered(rows, recommender, work), "request").select(
+        "basket_id", "request", "rank", "item_id", "score", "source"
+    )
 
 
 def request_error() -> Column:
@@ -110,9 +127,9 @@ def request_error() -> Column:
 
 def responses(requests: DataFrame, recommender: Recommender) -> DataFrame:
     """(basket_id, response JSON, error): one row per request, failed ones with an error only."""
-    recs = recommend_baskets(requests, recommender)
-    # At most top_k recommendations per basket.
-    listed = recs.groupBy("basket_id").agg(
+    rows = numbered(requests)
+    # At most top_k recommendations per request.
+    listed = recommend_numbered(rows, recommender).groupBy("request").agg(
         F.array_sort(F.collect_list(F.struct("rank", "item_id", "score"))).alias("ranked")
     )
     nothing = F.array().cast(listed.schema["ranked"].dataType)
@@ -124,7 +141,7 @@ def responses(requests: DataFrame, recommender: Recommender) -> DataFrame:
         ).alias("recommendations"),
     )
     error = request_error()
-    return requests.join(listed, "basket_id", "left").select(
+    return rows.join(listed, "request", "left").select(
         "basket_id", F.when(error.isNull(), F.to_json(answer)).alias("response"), error.alias("error")
     )
 
@@ -133,15 +150,15 @@ def similar_items(queries: DataFrame, recommender: Recommender, key: str = "quer
     """(key, rank, item_id, score, source) for queries (key, k), where key is an item id.
 
     A known item gets its neighbours without itself and is never filled up. An unknown item gets
-    the most popular items.
+    the most popular items. An item asked for with several k is answered for each.
     """
     items = recommender.items.select(F.col("item_id").alias(key), "features")
     asked = queries.select(key, F.col("k").cast("int").alias("k")).distinct()
-    known = asked.join(items, key).withColumn("n_excluded", F.lit(1))
-    itself = known.select(key, F.col(key).alias("item_id"))
-    near = neighbors(recommender.index, known, recommender.planes, itself, key)
-    unknown = asked.join(items.select(key), key, "left_anti")
-    popular = popular_for_each(unknown, recommender.popularity, key)
-    return near.withColumn("source", F.lit("similarity")).unionByName(
-        popular.withColumn("source", F.lit("popularity"))
-    )
+    rows = stored(asked.withColumn("request", F.monotonically_increasing_id()), "asked")
+    known = rows.join(items, key).withColumn("n_excluded", F.lit(1))
+    itself = known.select("request", F.col(key).alias("item_id"))
+    near = neighbors(recommender.index, known.drop(key), recommender.planes, itself, "request")
+    unknown = rows.join(items.select(key), key, "left_anti")
+    popular = popular_for_each(unknown.select("request", "k"), recommender.popularity, "request")
+    found = near.withColumn("source", F.lit("similarity")).unionByName(popular.withColumn("source", F.lit("popularity")))
+    return found.join(rows.select("request", key), "request").select(key, "rank", "item_id", "score", "source")

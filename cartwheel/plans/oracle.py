@@ -35,6 +35,8 @@ def sql(needs: str, body: str) -> str:
 
 
 def in_window(config, column: str = "datestamp") -> str:
+    if config.num_days is None:
+        return f"{column} IS NOT NULL"
     end = f"DATE '{config.end_date}'"
     return f"CAST({column} AS DATE) BETWEEN {end} - {config.num_days - 1} AND {end}"
 
@@ -470,10 +472,15 @@ UNION ALL SELECT 'mean', -1, round(mu, 6) FROM mean""",
   FROM predictions""",
     ),
     "rmse_by_quantity": sql(
-        "predictions",
-        """SELECT round(rating, 6) AS rating, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) AS rmse,
+        "purchases cut users items mean",
+        f"""SELECT round(l.rating, 6) AS rating,
+       round(sqrt(avg(({SCORE} - l.rating) * ({SCORE} - l.rating))), 6) AS rmse,
        count(*) AS n_pairs, round(ln(count(*) + 1), 6) AS log_count
-  FROM predictions GROUP BY predictions.rating""",
+  FROM (SELECT network_userid AS user_id, item_id, CAST(CAST(item_quantity AS FLOAT) AS DOUBLE) AS rating
+          FROM purchases
+         WHERE datestamp IS NOT NULL AND strftime(datestamp, '%Y_%m_%d') >= (SELECT first_test FROM cut)) l
+  JOIN users u USING (user_id) JOIN items i USING (item_id), mean
+ WHERE l.rating IS NOT NULL GROUP BY l.rating""",
     ),
     "user_topk": sql("best", "SELECT user_id, rank, item_id, round(score, 8) AS score FROM best"),
     "user_topk_unseen": sql(

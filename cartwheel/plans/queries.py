@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.config import Columns
 from cartwheel.functions.vectors import SCORE_DIGITS
 from cartwheel.operators import evaluate, extract, factors, index, itemsets, metrics, popularity, profile, runs, split
 from cartwheel.operators.factors import predict_pairs
@@ -85,14 +87,18 @@ def partition_summary(job: Job) -> DataFrame:
 def csv_extract(job: Job) -> DataFrame:
     """Purchases to CSV, extracted from there into date partitions, and scanned again."""
     raw, out = shared_path(job.spark, "purchases-csv"), shared_path(job.spark, "interactions")
-    job.purchases.write.option("header", True).csv(raw)
-    schema = job.purchases.select(
-        "network_userid", "order_id", "item_id", F.col("item_quantity").cast("string"), F.col("datestamp").cast("string")
-    ).schema
-    events = read_purchases_csv(job.spark, raw, schema=schema)
-    made, _, _ = extract.observed_interactions(events, LAST_YEAR)
+    # The columns in another order and under other names, with one that nobody asked for.
+    shuffled = job.purchases.select(
+        F.col("item_quantity").alias("qty"), F.lit("x").alias("campaign"), "item_id", F.col("datestamp").alias("day"),
+        F.col("network_userid").alias("who"), "order_id",
+    )
+    shuffled.write.option("header", True).csv(raw)
+    types = job.purchases.select(F.col("network_userid").alias("who"), "order_id", "item_id").schema
+    config = replace(LAST_YEAR, columns=Columns(user="who", rating="qty", date="day"))
+    events = read_purchases_csv(job.spark, raw, schema=types, columns=config.columns)
+    made, _, _ = extract.observed_interactions(events, config)
     write_partitions(made, out)
-    return read_partitions(job.spark, out)
+    return read_partitions(job.spark, out).withColumnsRenamed({"who": "network_userid", "qty": "item_quantity"})
 
 
 @query
@@ -115,11 +121,11 @@ def user_sample(job: Job) -> DataFrame:
 
 
 def user_index_of(job: Job) -> DataFrame:
-    return index.id_index(list(job.sides), "network_userid", "user_id", "user_idx")
+    return index.id_index([extract.cleaned(job.purchases, job.config)], "network_userid", "user_id", "user_idx")
 
 
 def item_index_of(job: Job) -> DataFrame:
-    return index.id_index(list(job.sides), "item_id", "item_id", "item_idx")
+    return index.id_index([extract.cleaned(job.purchases, job.config)], "item_id", "item_id", "item_idx")
 
 
 @query
@@ -180,7 +186,13 @@ def rmse_test(job: Job) -> DataFrame:
 
 @query
 def rmse_by_quantity(job: Job) -> DataFrame:
-    by_quantity = metrics.rmse_by(predict_pairs(job.test, job.model), "rating")
+    """Errors by the quantity of the purchase line, over all lines of the test side."""
+    lines = extract.windowed_purchases(job.purchases, job.config)
+    _, later = split.chronological_split(lines, job.config.test_fraction)
+    pairs = later.select(
+        F.col("network_userid").alias("user_id"), "item_id", F.col("item_quantity").cast("double").alias("rating")
+    ).where("rating IS NOT NULL")
+    by_quantity = metrics.rmse_by(predict_pairs(pairs, job.model), "rating")
     return rounded(by_quantity, "rating", "rmse", "log_count")
 
 
@@ -298,12 +310,12 @@ def stream_basket_recommendations(job: Job) -> DataFrame:
     job.requests().write.parquet(asked)
     stream = read_requests(spark, asked, job.items.schema["item_id"].dataType)
     serve(stream, load_recommender(spark, saved, job.config), out, progress).awaitTermination()
-    return rounded(spark.read.parquet(f"{out}/recommendations").drop("batch"), "score", digits=SCORE_DIGITS)
+    return rounded(spark.read.parquet(f"{out}/recommendations").drop("batch", "request"), "score", digits=SCORE_DIGITS)
 
 
 @query
 def request_recommendations(job: Job) -> DataFrame:
-    return rounded(recommend_baskets(job.requests(), job.recommender), "score", digits=SCORE_DIGITS)
+    return rounded(recommend_baskets(job.requests(), job.recommender).drop("request"), "score", digits=SCORE_DIGITS)
 
 
 # Market baskets

@@ -6,7 +6,6 @@ import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwheel.config import Config
 from cartwheel.operators.evaluate import evaluate, heldout_rmse
@@ -18,8 +17,8 @@ from cartwheel.operators.ratings import user_item_ratings
 from cartwheel.operators.runs import metrics_long
 from cartwheel.operators.split import chronological_split
 from cartwheel.session import stored
-from cartwheel.sources.artifacts import append_metrics, load_model, save_evaluation, save_model
-from cartwheel.sources.partitions import read_partitions, read_table, write_partitions
+from cartwheel.sources.artifacts import append_metrics, champion, load_model, promote, save_evaluation, save_model
+from cartwheel.sources.partitions import read_partitions, write_partitions
 from cartwheel.sources.purchases import read_purchases_csv
 
 
@@ -31,9 +30,9 @@ class Trained:
     path: str
 
 
-def extract_stage(spark: SparkSession, config: Config, events: DataFrame | None = None) -> dict[str, int]:
+def extract_stage(spark: SparkSession, config: Config, events: DataFrame | None = None, infer: bool = False) -> dict[str, int]:
     """CSV (or the given events) to date-partitioned interactions; returns the audit counts."""
-    source = read_purchases_csv(spark, config.data_path) if events is None else events
+    source = read_purchases_csv(spark, config.data_path, infer, columns=config.columns) if events is None else events
     frame, read, made = observed_interactions(source, config)
     write_partitions(frame, config.output_base)
     return {**read.get, **made.get}
@@ -42,14 +41,14 @@ def extract_stage(spark: SparkSession, config: Config, events: DataFrame | None
 def train_stage(spark: SparkSession, config: Config, run_id: str, method: str = "als") -> Trained:
     """Split, index, fit and save one model, and append its metrics to the log."""
     cols = config.columns
-    train_side, test_side = chronological_split(read_partitions(spark, config.output_base), config.test_fraction)
+    whole = read_partitions(spark, config.output_base)
+    train_side, test_side = chronological_split(whole, config.test_fraction)
     if train_side.isEmpty():
         raise ValueError("no date partitions on the train side")
     train = stored(user_item_ratings(train_side, cols), "train")
     test = stored(user_item_ratings(test_side, cols), "test")
-    sides = [train_side, test_side]
-    users = id_index(sides, cols.user, "user_id", "user_idx")
-    items = id_index(sides, cols.item, "item_id", "item_idx")
+    users = id_index([whole], cols.user, "user_id", "user_idx")
+    items = id_index([whole], cols.item, "item_id", "item_idx")
     path, log = f"{config.checkpoint_base}/{run_id}", f"{config.checkpoint_base}/run_metrics"
     if method == "gradient":
         fitted, curve = fit_gradient(
@@ -68,12 +67,13 @@ def train_stage(spark: SparkSession, config: Config, run_id: str, method: str =
     test_rmse, step = (error["rmse"], config.epochs) if error["n_pairs"] else (math.inf, 0)
     row = spark.createDataFrame([(run_id, step, test_rmse)], "run_id string, step int, test_rmse double")
     row.write.mode("overwrite").json(f"{path}/metrics")
-    append_metrics(metrics_long(row, "run_id", "step", ["test_rmse"]), log)
+    if method != "gradient":  # whose curve has the error of every epoch
+        append_metrics(metrics_long(row, "run_id", "step", ["test_rmse"]), log)
     return Trained(model, test, test_rmse, path)
 
 
 def evaluate_stage(trained: Trained, config: Config) -> tuple[DataFrame, str]:
-    """Ranking metrics on a sample of the test users, written as JSON."""
+    """Ranking metrics of all test users, or of a sample if one is configured, written as JSON."""
     summary = evaluate(trained.model, trained.test, config.ndcg_k, users=config.eval_sample_users)
     path = save_evaluation(summary, trained.test_rmse, config.metrics_dir, config.end_date)
     return summary.sparkSession.read.json(path), path
@@ -81,15 +81,8 @@ def evaluate_stage(trained: Trained, config: Config) -> tuple[DataFrame, str]:
 
 def select_stage(spark: SparkSession, config: Config, trained: Trained) -> bool:
     """Replace the champion when the new test RMSE is strictly lower, or when there is none."""
-    latest = config.latest_model_dir
-    try:
-        read_table(spark, f"{latest}/model/mean")
-        previous = spark.read.schema("test_rmse double").json(f"{latest}/metrics").first()["test_rmse"]
-        better = trained.test_rmse < (math.inf if previous is None else previous)
-    except FileNotFoundError:
-        better = True
+    before = champion(spark, config.latest_model_dir)
+    better = before is None or trained.test_rmse < before[1]
     if better:
-        save_model(trained.model, f"{latest}/model")
-        row = spark.range(1).select(F.lit(trained.test_rmse).alias("test_rmse"))
-        row.coalesce(1).write.mode("overwrite").json(f"{latest}/metrics")
+        promote(spark, trained.model, trained.test_rmse, config.latest_model_dir)
     return better

@@ -19,8 +19,8 @@ from cartwheel.operators.split import chronological_split
 from cartwheel.session import stored, tune
 from cartwheel.sources.purchases import described_purchases, purchases_from_orders
 
-# The whole order history, and its last year for the jobs that show the date window.
-HISTORY = Config(end_date="2001-08-01", num_days=2405)
+# The whole order history without a window, and its last year for the jobs that show the date window.
+HISTORY = Config(num_days=None)
 LAST_YEAR = Config(end_date="2001-08-01", num_days=365)
 TOP_K = 10
 BASKET_K = 5
@@ -29,7 +29,11 @@ VECTOR_SCALE = 8.0
 
 @dataclass(frozen=True)
 class Job:
-    """Frames derived from one data folder; every property is a lazy plan."""
+    """Frames derived from one data folder.
+
+    `history`, `train`, `test`, `users`, `items` and `recommender` write tables when first used, since
+    several jobs read them; the other properties are lazy plans.
+    """
 
     spark: SparkSession
     folder: str

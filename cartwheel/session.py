@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,13 @@ RUNTIME_SETTINGS = {
 }
 
 
-def build_session(app: str = "cartwheel", cores: int | str = "*", **settings: str) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster use spark-submit and `tune`."""
+def build_session(app: str = "cartwheel", cores: int | str = "*", shared: str | None = None, **settings: str) -> SparkSession:
+    """A local session for tests and benchmarks; on a cluster use spark-submit and `tune`.
+
+    `shared` is the folder for intermediate tables and checkpoints.
+    """
+    if shared:
+        settings = {"spark.checkpoint.dir": shared, **settings}
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     defaults = {
         "spark.ui.enabled": "false",
@@ -40,20 +45,35 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only in local mode."""
+    """The folder named in spark.checkpoint.dir; where that is unset, one in the session's warehouse.
+
+    The warehouse is shared by all executors of a cluster. A plain local session without either writes
+    below its working directory.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cartwheel-work"
+        if not re.match(r"[a-z0-9]+://|file:|/", folder) and not re.fullmatch(r"local(\[[^,]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="cartwheel-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one: everything it writes for itself is in here."""
+    return f"{shared_dir(spark)}/cartwheel-{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder for a table that one job writes and another reads."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the work folder for a table that one job writes and another reads."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables; frames that read them cannot be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -6,13 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel.config import Columns
 from cartwheel.schemas import PURCHASE_EVENTS
 
 
-def read_purchases_csv(spark: SparkSession, path: str, infer: bool = False, schema: T.StructType = PURCHASE_EVENTS) -> DataFrame:
-    """CSV with a header. The schema is declared; `infer` reads the files once more to guess it."""
+def read_purchases_csv(
+    spark: SparkSession, path: str, infer: bool = False, schema: T.StructType = PURCHASE_EVENTS, columns: Columns = Columns()
+) -> DataFrame:
+    """CSV with a header, by the names in it: in any order, with the known columns kept and others left out.
+
+    `columns` names the five columns the pipeline needs; one that is missing is an error. Types are
+    declared by the schema and text otherwise; `infer` reads the files once more to guess them. All files
+    need the same header, which Spark checks.
+    """
     reader = spark.read.option("header", True)
-    return reader.option("inferSchema", True).csv(path) if infer else reader.schema(schema).csv(path)
+    header = reader.csv(path).columns
+    needed = [columns.user, columns.item, columns.rating, columns.order, columns.date]
+    missing = [n for n in needed if n not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    if infer:
+        frame = reader.option("inferSchema", True).csv(path)
+    else:
+        types = {f.name: f.dataType for f in schema}
+        declared = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in header])
+        frame = reader.option("enforceSchema", False).schema(declared).csv(path)
+    kept = {*schema.fieldNames(), *needed}
+    return frame.select(*(F.col(f"`{n}`") for n in header if n in kept))
 
 
 def purchases_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.config import Config
+from cartwheel.config import Columns, Config
 from cartwheel.functions.scalars import parse_basket
 from cartwheel.operators.extract import (
     extraction_audit,
@@ -101,6 +102,30 @@ def test_csv_to_partitions_in_one_job(spark, events, tmp_path):
     assert made(read_partitions(spark, out)) == {k: v for k, v in EXPECTED.items() if k[3] == "2025_09_09"}
 
 
+def test_csv_by_name(spark, tmp_path):
+    rows = [("x", "3", "2025-09-10", "i1", "u1", "o1"), ("y", "5", "2025-09-09", "i2", "u2", "o2")]
+    names = ["campaign", "item_quantity", "day", "item_id", "network_userid", "order_id"]
+    for part, row in enumerate(rows):
+        spark.createDataFrame([row], names).coalesce(1).write.mode("append").option("header", True).csv(str(tmp_path / "raw"))
+    config = replace(CONFIG, columns=Columns(date="day"))
+    for infer in (False, True):
+        frame = read_purchases_csv(spark, str(tmp_path / "raw"), infer, columns=config.columns)
+        assert "campaign" not in frame.columns
+        assert {(r.network_userid, r.item_id, r.order_id, r.item_quantity) for r in interactions(frame, config).collect()} == {
+            ("u1", "i1", "o1", 3.0), ("u2", "i2", "o2", 5.0)
+        }
+    with pytest.raises(ValueError, match="datestamp"):
+        read_purchases_csv(spark, str(tmp_path / "raw"))
+
+
+def test_without_a_window_every_date_counts(spark):
+    rows = [("u", "o", "i", "1", d) for d in ("1971-01-02", "2025-09-10", "2099-12-31", "no date", None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert interactions(frame, replace(CONFIG, num_days=None)).count() == 3
+    stamped = frame.withColumn("datestamp", F.try_to_timestamp("datestamp", F.lit("yyyy-MM-dd")))
+    assert interactions(stamped, replace(CONFIG, num_days=None)).count() == 3
+
+
 def test_partition_filter_prunes(spark, events, tmp_path):
     out = str(tmp_path / "out")
     write_partitions(interactions(events, CONFIG), out)

@@ -108,3 +108,5 @@ def test_index_is_built_once(spark, items, tmp_path):
     assert len(calls) == 1 and first.count() == again.count() == 3 * N
     columns = ["table_idx", "hash_key", "item_id"]
     assert build().select(*columns).exceptAll(again.select(*columns)).isEmpty()
+    (tmp_path / "buckets" / "_SUCCESS").unlink()  # as an interrupted job leaves it
+    assert load_or_build(spark, path, build, "table_idx").count() == 3 * N and len(calls) == 3

@@ -167,14 +167,38 @@ def test_saved_model_serves_a_stream_like_a_batch(spark, model, arrays, tmp_path
     serve(stream, served, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
     answers = spark.read.parquet(str(tmp_path / "out/recommendations"))
     assert answers.select("batch").distinct().count() >= 2
-    batch = recommend_baskets(asked, load_recommender(spark, path, CONFIG))
-    assert batch.exceptAll(answers.drop("batch")).isEmpty() and answers.drop("batch").exceptAll(batch).isEmpty()
+    batch = recommend_baskets(asked, load_recommender(spark, path, CONFIG)).drop("request")
+    given = answers.select(batch.columns)
+    assert batch.exceptAll(given).isEmpty() and given.exceptAll(batch).isEmpty()
     errors = spark.read.parquet(str(tmp_path / "out/errors")).collect()
     assert [(r.basket_id, r.error) for r in errors] == [(99, "basket is missing")]
     serve(stream, served, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()  # nothing new
     assert spark.read.parquet(str(tmp_path / "out/recommendations")).count() == answers.count()
 
 
+def test_requests_that_share_an_id_are_answered_one_by_one(spark, recommender, arrays, model, tmp_path):
+    rows = [(1, [1, 2], 2), (1, [3], 4), (1, [1, 2], 2), (2, [5], 1)]
+    asked = spark.createDataFrame(rows, "basket_id long, basket array<long>, top_k int").coalesce(1)
+    found = {}
+    for r in recommend_baskets(asked, recommender).orderBy("request", "rank").collect():
+        found.setdefault(r.request, []).append(r.item_id)
+    want = sorted(basket_answer(arrays, basket, k) for _, basket, k in rows)
+    assert sorted(found.values()) == want
+    bodies = [json.loads(r.response) for r in responses(asked, recommender).collect()]
+    assert sorted([x["item_id"] for x in b["recommendations"]] for b in bodies) == want
+    asked.write.parquet(str(tmp_path / "asked"))
+    stream = read_requests(spark, str(tmp_path / "asked"), model.items.schema["item_id"].dataType)
+    serve(stream, recommender, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/recommendations")).count() == sum(map(len, want))
+
+
+def test_one_item_with_two_k(spark, recommender, arrays):
+    asked = spark.createDataFrame([(7, 2), (7, 4), (900, 1), (900, 3)], "query_id long, k int")
+    found = similar_items(asked, recommender).groupBy("query_id").count().collect()
+    near_count = sum(len(near(arrays, arrays[0][7], {7}, k)) for k in (2, 4))
+    assert {r.query_id: r["count"] for r in found} == {7: near_count, 900: 4}
+
+
 def test_missing_model(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_model(spark, str(tmp_path / "none"))

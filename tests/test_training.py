@@ -13,7 +13,7 @@ from cartwheel.operators.gradient import Plateau, fit_gradient, initial_paramete
 from cartwheel.operators.index import id_index
 from cartwheel.operators.recommend import recommend_baskets
 from cartwheel.plans.stages import evaluate_stage, extract_stage, select_stage, train_stage
-from cartwheel.sources.artifacts import load_recommender, read_metrics
+from cartwheel.sources.artifacts import champion, load_recommender, read_metrics
 
 USERS, ITEMS, D = 12, 9, 3
 
@@ -146,7 +146,7 @@ def test_stages_end_to_end(spark, tmp_path, method):
     first = replace(config, latest_model_dir=str(tmp_path / "first"))
     assert select_stage(spark, first, replace(trained, test_rmse=math.inf)) is True
     assert select_stage(spark, first, trained) is True  # anything beats a run without metrics
-    served = load_recommender(spark, f"{config.latest_model_dir}/model", config)
+    served = load_recommender(spark, champion(spark, config.latest_model_dir)[0], config)
     asked = spark.createDataFrame([(1, ["i1", "i2", "none"], 4), (2, ["none"], 4)], "basket_id long, basket array<string>, top_k int")
     recs = recommend_baskets(asked, served).collect()
     assert len(recs) == 8 and not {r.item_id for r in recs if r.basket_id == 1} & {"i1", "i2", "none"}
