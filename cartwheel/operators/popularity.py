@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.vectors import SCORE_DIGITS
 from cartwheel.operators.index import dense_index
+from cartwheel.session import shuffle_partitions
 
 HEAD = 1_000
-SALTS = 64
 
 
 def popularity_from_bias(items: DataFrame) -> DataFrame:
@@ -35,12 +35,13 @@ def most_popular(popularity: DataFrame, k: int, exclude: DataFrame | None = None
 def with_items(wanted: DataFrame, ranked: DataFrame, spread_by: str) -> DataFrame:
     """Look up the item of every wanted `pop_rank`.
 
-    Nearly all rows want the first few ranks. Those rows are spread over SALTS copies of the head
-    of the list, a fixed HEAD * SALTS rows at most, so that no rank gathers in one task.
+    Nearly all rows want the first few ranks. Those rows are spread over a copy of the head of the list
+    for every shuffle partition, so that no rank gathers in one task, whatever the cluster.
     """
+    copies_of_head = shuffle_partitions(ranked.sparkSession)
     in_head = F.col("pop_rank") <= HEAD
-    salt = F.when(in_head, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    salts = F.when(in_head, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(in_head, F.pmod(F.xxhash64(spread_by), F.lit(copies_of_head)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(in_head, F.sequence(F.lit(0), F.lit(copies_of_head - 1))).otherwise(F.array(F.lit(0)))
     copies = ranked.select("pop_rank", "item_id", "score", F.explode(salts).alias("_salt"))
     return wanted.withColumn("_salt", salt).join(copies, ["pop_rank", "_salt"]).drop("_salt")
 

@@ -595,3 +595,15 @@ SELECT a.item_id, CAST(pop_rank AS INT), p.item_id, round(score, 8), 'popularity
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_best FROM monthly) j""",
     ),
 }
+
+# What sinks give back.
+ORACLE["split_written"] = sql(
+    "interactions cut",
+    """SELECT date_partition, CASE WHEN date_partition < (SELECT first_test FROM cut) THEN 'train' ELSE 'test' END AS side,
+       count(*) AS n_rows FROM interactions GROUP BY date_partition""",
+)
+ORACLE["metrics_log"] = ORACLE["run_metrics_long"]
+ORACLE["evaluation_saved"] = (
+    f"SELECT e.*, '{LAST_YEAR.end_date}' AS eval_date, CAST(1.5 AS DOUBLE) AS training_rmse FROM ({ORACLE['evaluation_summary']}) e"
+)
+ORACLE["served_champion"] = ORACLE["request_recommendations"]

@@ -21,8 +21,16 @@ from cartwheel.operators.recommend import basket_vectors, recommend_baskets, rec
 from cartwheel.operators.score import top_items
 from cartwheel.plans.tables import BASKET_K, LAST_YEAR, TOP_K, Job
 from cartwheel.session import shared_path
-from cartwheel.sources.artifacts import load_recommender, save_model
-from cartwheel.sources.partitions import read_partitions, write_partitions
+from cartwheel.sources.artifacts import (
+    append_metrics,
+    champion,
+    load_recommender,
+    promote,
+    read_metrics,
+    save_evaluation,
+    save_model,
+)
+from cartwheel.sources.partitions import read_partitions, write_partitions, write_split
 from cartwheel.sources.purchases import read_purchases_csv
 from cartwheel.streaming.requests import parse_requests, read_requests, serve
 
@@ -437,5 +445,48 @@ def als_rmse_by_quantity(job: Job) -> DataFrame:
     return metrics.rmse_by(model.transform(sided.where("side = 'test'")), "rating")
 
 
+# Sinks: written, read back, and compared like the frames they hold
+
+
+@query
+def split_written(job: Job) -> DataFrame:
+    """Both sides of the split as datasets of their own: rows of every date."""
+    whole, base = shared_path(job.spark, "interactions"), shared_path(job.spark, "sides")
+    write_partitions(job.interactions, whole)
+    sides = write_split(job.spark, whole, base, job.config.test_fraction)
+    both = [read_partitions(job.spark, path).withColumn("side", F.lit(side)) for path, side in zip(sides, ("train", "test"))]
+    return both[0].unionByName(both[1]).groupBy("date_partition", "side").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def metrics_log(job: Job) -> DataFrame:
+    """The metrics of all runs, logged twice as after a repeated run."""
+    log = shared_path(job.spark, "metrics")
+    judged = monthly_runs(job).withColumn("step", F.lit(1))
+    rows = rounded(runs.metrics_long(judged, "run_id", "step", ["rmse", "n_pairs", "log_count"]), "value")
+    for _ in range(2):
+        append_metrics(rows, log)
+    return read_metrics(job.spark, log)
+
+
+@query
+def evaluation_saved(job: Job) -> DataFrame:
+    """The evaluation as its JSON file gives it back."""
+    summary = rounded(evaluate.evaluate(job.model, job.test, TOP_K), "rmse", "ndcg_at_10", "precision_at_10", "recall_at_10")
+    path = save_evaluation(summary, 1.5, shared_path(job.spark, "evaluations"), LAST_YEAR.end_date)
+    return job.spark.read.json(path)
+
+
+@query
+def served_champion(job: Job) -> DataFrame:
+    """Requests answered by the second of two models that were promoted and served in turn."""
+    latest = shared_path(job.spark, "latest")
+    turned = replace(job.model, items=job.items.withColumns({"features": F.reverse("features"), "bias": -F.col("bias")}))
+    for model, error in ((turned, 2.0), (job.model, 1.0)):
+        promote(job.spark, model, error, latest)
+        served = load_recommender(job.spark, champion(job.spark, latest)[0], job.config)
+    return rounded(recommend_baskets(job.requests(), served).drop("request"), "score", digits=SCORE_DIGITS)
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return QUERIES["basket_recommendations"](spark, folder)

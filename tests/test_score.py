@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.functions.vectors import top_products
+from cartwheel.operators import score
 from cartwheel.operators.evaluate import evaluate, heldout_rmse
 from cartwheel.operators.factors import FactorModel, predict_pairs, without_biases
 from cartwheel.operators.score import top_items
@@ -54,8 +55,9 @@ def test_top_items_match_brute_force(spark, model, arrays, block_rows):
     assert found == {f"u{u:03d}": [f"i{i:03d}" for i in best(expected[u], 12)] for u in range(USERS)}
 
 
-@pytest.mark.parametrize("block_rows", [7, 50_000])
-def test_seen_items_are_masked(spark, model, arrays, block_rows):
+@pytest.mark.parametrize(("block_rows", "block_seen"), [(7, 1_000_000), (50_000, 1_000_000), (50_000, 30)])
+def test_seen_items_are_masked(spark, model, arrays, monkeypatch, block_rows, block_seen):
+    monkeypatch.setattr(score, "BLOCK_SEEN", block_seen)
     rng = np.random.default_rng(3)
     seen = {u: set(rng.choice(ITEMS, 20, replace=False).tolist()) for u in range(0, USERS, 2)}
     rows = [(f"u{u:03d}", f"i{i:03d}") for u, items in seen.items() for i in items] + [("stranger", "i001"), ("u000", "none")]
