@@ -150,8 +150,8 @@ def fold(key: Column, parts: int) -> Column:
 
 def bounded_sample(
     documents: DataFrame, labels: DataFrame, label: str, train: Column, max_rows: int, max_bytes: int, key: str = "doc_id", text: str = "text"
-) -> pa.Table:
-    """Columns text and label: at most so many rows and bytes of whole labelled training texts.
+) -> DataFrame:
+    """Columns text and label: at most so many rows and bytes of whole labelled training texts, in one partition.
 
     Only training reads a sample; it takes the documents in the order of a hash of their ids. A document
     without label or with a null one is left out; of contradicting rows the higher counts. Ids and
@@ -166,4 +166,4 @@ def bounded_sample(
     chosen = first.slice(0, fit).select(["key", "label", "_order"]).group_by("key").aggregate([("label", "max"), ("_order", "max")])
     picked = documents.sparkSession.createDataFrame(chosen).toDF("_key", "label", "_order")
     texts = documents.where(train).select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key")
-    return texts.orderBy("_order", "_key", F.octet_length("text")).limit(fit).select("text", "label").toArrow()
+    return texts.orderBy("_order", "_key", F.octet_length("text")).limit(fit).select("text", "label")

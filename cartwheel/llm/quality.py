@@ -142,7 +142,7 @@ def backward(rows: np.ndarray, counts: np.ndarray, labels: np.ndarray, network:
 
 def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, label: str = "quality", settings: Settings | None = None) -> Network:
     settings = settings or Settings()
-    return train(bounded_sample(documents, labels, label, train_rows, settings.max_rows, settings.max_bytes), settings)
+    return train(bounded_sample(documents, labels, label, train_rows, settings.max_rows, settings.max_bytes).toArrow(), settings)
 
 
 def score(documents: DataFrame, network: Network, text: str = "text") -> DataFrame:

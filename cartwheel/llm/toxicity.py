@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.blocks import LOWER, WORD, Block, Hasher, arrow_batches, blocks, bounded_sample, mixed, runs, with_fields
+from cartwheel.llm.blocks import BLOCK_BYTES, LOWER, WORD, Block, Hasher, arrow_batches, blocks, bounded_sample, mixed, runs, with_fields
 
 BITS = 20
 THRESHOLD = 0.5
@@ -39,8 +39,8 @@ class Settings:
     l2: float = 0.0
     epochs: int = 4
     min_texts: int = 4
-    max_rows: int = 10_000
-    max_bytes: int = 36 << 20
+    max_rows: int = 12_000
+    max_bytes: int = 40 << 20
 
 
 @dataclass(frozen=True)
@@ -81,14 +81,18 @@ def train(sample: pa.Table, settings: Settings) -> Weights:
     texts, labels = sample.select(["text"]).to_batches(), sample["label"].to_pylist()
     size = 1 << settings.bits
     seen = np.zeros(size, np.int32)
-    for block in blocks(iter(texts)):
+    for block in blocks(iter(texts), limit=BLOCK_BYTES // 2):
         seen += np.bincount(distinct(*features(block, settings.bits), settings.bits)[1], minlength=size).astype(np.int32)
-    documents = []
-    for block in blocks(iter(texts)):
+    parts, ends = [], [np.zeros(1, np.int64)]
+    for block in blocks(iter(texts), limit=BLOCK_BYTES // 2):
         text, bucket = features(block, settings.bits)
         admitted = seen[bucket] >= settings.min_texts
         text, bucket = distinct(text[admitted], bucket[admitted], settings.bits)
-        documents += np.split(bucket.astype(np.int32), np.searchsorted(text, np.arange(1, block.size)))
+        parts.append(bucket.astype(np.int32))
+        ends.append(np.searchsorted(text, np.arange(1, block.size + 1)) + ends[-1][-1])
+    flat, bounds = np.concatenate([np.zeros(0, np.int32), *parts]), np.concatenate(ends)
+    documents = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    del parts
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     for _ in range(settings.epochs if documents else 0):
         for own, label in zip(documents, labels, strict=True):
@@ -110,9 +114,24 @@ def proximal(z: np.ndarray, n: np.ndarray, settings: Settings) -> np.ndarray:
 
 
 def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, label: str = "toxic", settings: Settings | None = None) -> Weights:
-    """Learn from the labelled documents among the training rows."""
+    """Learn from the labelled documents among the training rows, in one task that holds the bounded sample."""
+    arrow_batches(documents.sparkSession)
     settings = settings or Settings()
-    return train(bounded_sample(documents, labels, label, train_rows, settings.max_rows, settings.max_bytes), settings)
+    sample = bounded_sample(documents, labels, label, train_rows, settings.max_rows, settings.max_bytes)
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = list(batches)
+        table = pa.Table.from_batches(whole) if whole else pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())})
+        found = train(table, settings)
+        yield pa.record_batch(
+            {"buckets": [found.buckets.tobytes()], "weights": [found.values.tobytes()], "intercept": [found.intercept]}
+        )
+
+    row = sample.mapInArrow(learned, "buckets binary, weights binary, intercept double").first()
+    if row is None:
+        return Weights(np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0, settings.bits)
+    buckets, values = np.frombuffer(row["buckets"], np.int64), np.frombuffer(row["weights"], np.float32)
+    return Weights(buckets, values, row["intercept"], settings.bits)
 
 
 def block_scores(block: Block, table: np.ndarray, intercept: float, bits: int) -> np.ndarray:
