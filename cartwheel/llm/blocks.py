@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BATCH_ROWS = 2_000
 
 LOWER = np.arange(256, dtype=np.uint8)
