@@ -6,7 +6,7 @@ of whole labelled documents in hash order. Per-coordinate rates and the L1 thres
 other than zero; those are shipped to the tasks (at most 2 ** BITS of them).
 
 Edge cases: a null or empty text, or one without words, scores as the intercept says. Without training
-rows every score is 0.5. Repeated rows and ids are scored one by one. Other columns are not read.
+rows every score is 0.5. The filter rejects neither of these, since nothing says that they are toxic. Repeated rows and ids are scored one by one. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from cartwheel.llm.blocks import BLOCK_BYTES, LOWER, WORD, Block, Hasher, arrow_batches, blocks, bounded_sample, mixed, runs, with_fields
 
@@ -45,12 +44,13 @@ class Settings:
 
 @dataclass(frozen=True)
 class Weights:
-    """The weights that are not zero, by bucket, and the intercept."""
+    """The weights that are not zero, by bucket, and the intercept; fitted says whether there were training rows."""
 
     buckets: np.ndarray
     values: np.ndarray
     intercept: float
     bits: int
+    fitted: bool = True
 
     def table(self) -> np.ndarray:
         dense = np.zeros(1 << self.bits, np.float32)
@@ -105,7 +105,7 @@ def train(sample: pa.Table, settings: Settings) -> Weights:
     w = proximal(z, n, settings)
     # The intercept has no penalty worth the name: its coordinate is seen by every document.
     kept = np.flatnonzero(w[:size])
-    return Weights(kept, w[kept].astype(np.float32), float(w[size]), settings.bits)
+    return Weights(kept, w[kept].astype(np.float32), float(w[size]), settings.bits, len(documents) > 0)
 
 
 def proximal(z: np.ndarray, n: np.ndarray, settings: Settings) -> np.ndarray:
@@ -124,14 +124,14 @@ def fit(documents: DataFrame, labels: DataFrame, train_rows: Column, label: str
         table = pa.Table.from_batches(whole) if whole else pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())})
         found = train(table, settings)
         yield pa.record_batch(
-            {"buckets": [found.buckets.tobytes()], "weights": [found.values.tobytes()], "intercept": [found.intercept]}
+            {"buckets": [found.buckets.tobytes()], "weights": [found.values.tobytes()], "intercept": [found.intercept], "fitted": [found.fitted]}
         )
 
-    row = sample.mapInArrow(learned, "buckets binary, weights binary, intercept double").first()
+    row = sample.mapInArrow(learned, "buckets binary, weights binary, intercept double, fitted boolean").first()
     if row is None:
-        return Weights(np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0, settings.bits)
+        return Weights(np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0, settings.bits, False)
     buckets, values = np.frombuffer(row["buckets"], np.int64), np.frombuffer(row["weights"], np.float32)
-    return Weights(buckets, values, row["intercept"], settings.bits)
+    return Weights(buckets, values, row["intercept"], settings.bits, row["fitted"])
 
 
 def block_scores(block: Block, table: np.ndarray, intercept: float, bits: int) -> np.ndarray:
@@ -157,6 +157,18 @@ def score(documents: DataFrame, weights: Weights, text: str = "text") -> DataFra
     return documents.mapInArrow(scored, with_fields(documents, "toxicity double"))
 
 
-def without_toxic(documents: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score below the threshold, with their columns."""
-    return score(documents, weights).where(F.col("toxicity") < threshold).select(*documents.columns)
+def without_toxic(documents: DataFrame, weights: Weights, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents, with their columns, but for those with words that a fitted model scores at or above the threshold."""
+    if not weights.fitted:
+        return documents
+    arrow_batches(documents.sparkSession)
+    shipped = documents.sparkSession.sparkContext.broadcast(weights)
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shipped.value
+        table = model.table()
+        for block in blocks(batches, text):
+            worded = np.bincount(runs(WORD, block)[2], minlength=block.size) > 0
+            yield block.rows.filter(pa.array(~worded | (block_scores(block, table, model.intercept, model.bits) < threshold)))
+
+    return documents.mapInArrow(left, documents.schema)

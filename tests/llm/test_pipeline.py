@@ -3,11 +3,12 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from helpers_llm import prose, table, write
 from test_decontam import distance_within
 from test_setsketch import brute, edited
 
-from cartwheel.llm import decontam
+from cartwheel.llm import decontam, toxicity
 
 
 def test_stages_decide_on_planted_cases(spark, tmp_path):
@@ -68,3 +69,22 @@ def test_run_on_the_smallest_tables_and_an_empty_one(spark, tmp_path):
         benchmark=spark.createDataFrame([], "item_id long, text string"),
     )
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_documents_stay_without_training_rows(spark, tmp_path):
+    texts = [prose(random.Random(5), 30), "some words", None, "", " \n", "."]
+    for number, rows in enumerate(([], [(0, 1, None), (1, None, None)], [(77, 0, 1)])):
+        folder = write(
+            spark,
+            tmp_path / str(number),
+            documents=table(spark, texts),
+            labels=spark.createDataFrame(rows, "doc_id long, quality int, toxic int"),
+        )
+        kept = corpus_pipeline.drop_toxic(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts)))
+
+
+def test_texts_without_words_stay_whatever_the_intercept(spark):
+    docs = table(spark, ["bad", None, "", " \n", "...", "good"])
+    fitted = toxicity.Weights(np.zeros(0, np.int64), np.zeros(0, np.float32), 2.0, 20)
+    assert {r["text"] for r in toxicity.without_toxic(docs, fitted).collect()} == {None, "", " \n", "..."}
