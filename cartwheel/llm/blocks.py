@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -153,7 +153,8 @@ def bounded_sample(
 ) -> DataFrame:
     """Columns text and label: at most so many rows and bytes of whole labelled training texts, in one partition.
 
-    Only training reads a sample; it takes the documents in the order of a hash of their ids. A document
+    Only training reads a sample; it takes the documents in the order of a hash of their ids, and leaves out
+    each one that would pass the bytes left, so that a long text cannot push out the others. A document
     without label or with a null one is left out; of contradicting rows the higher counts. Ids and
     lengths are joined first, so that no text is shuffled; then at most max_rows ids, which is what bounds
     the broadcast, pick their texts.
@@ -161,9 +162,17 @@ def bounded_sample(
     marks = labels.where(F.col(label).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     sizes = documents.where(train).select(key, F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"))
     found = sizes.join(marks, key).select(F.col(key).alias("key"), "label", "_bytes", F.xxhash64(key, F.lit(17)).alias("_order"))
-    first = found.orderBy("_order", "key", "_bytes").limit(max_rows).toArrow()
-    fit = int(np.searchsorted(np.cumsum(first["_bytes"].to_numpy()), max_bytes, "right"))
-    chosen = first.slice(0, fit).select(["key", "label", "_order"]).group_by("key").aggregate([("label", "max"), ("_order", "max")])
-    picked = documents.sparkSession.createDataFrame(chosen).toDF("_key", "label", "_order")
-    texts = documents.where(train).select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key")
-    return texts.orderBy("_order", "_key", F.octet_length("text")).limit(fit).select("text", "label")
+    short = found.where(F.col("_bytes") <= max_bytes)
+    first = short.orderBy("_order", "key", "_bytes").limit(max_rows).toArrow()
+    left, fits = max_bytes, []
+    for size in first["_bytes"].to_pylist():
+        fits.append(size <= left)
+        left -= size * fits[-1]
+    chosen = first.filter(pa.array(fits, pa.bool_())).group_by(["key", "label", "_order", "_bytes"]).aggregate([([], "count_all")])
+    picked = documents.sparkSession.createDataFrame(chosen).toDF("_key", "label", "_order", "_bytes", "_many")
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    texts = documents.where(train).select(F.col(key).alias("_key"), F.col(text).alias("text"), size.alias("_bytes"))
+    # Of rows that share id and length, as many as fit.
+    number = F.row_number().over(Window.partitionBy("_key", "_bytes").orderBy("text"))
+    own = texts.join(F.broadcast(picked), ["_key", "_bytes"]).withColumn("_number", number).where(F.col("_number") <= F.col("_many"))
+    return own.orderBy("_order", "_key", "_bytes", "_number").limit(max(1, sum(fits))).select("text", "label")

@@ -9,7 +9,7 @@ from helpers_llm import held_out, prose, rows_of, table, write
 from pyspark.sql import functions as F
 
 from cartwheel.llm import langmix, quality, toxicity
-from cartwheel.llm.blocks import Block
+from cartwheel.llm.blocks import Block, bounded_sample
 from cartwheel.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.1"
@@ -180,3 +180,16 @@ def test_training_is_repeatable():
     sample = pa.table({"text": [prose(rng, 30) + (" scum" if i % 3 == 0 else "") for i in range(60)], "label": [int(i % 3 == 0) for i in range(60)]})
     a, b = (toxicity.train(sample, toxicity.Settings()) for _ in range(2))
     assert (a.buckets == b.buckets).all() and (a.values == b.values).all()
+
+
+def test_long_texts_do_not_end_the_sample(spark):
+    texts = [f"text {i}" for i in range(40)]
+    order = [r["id"] for r in spark.range(40).orderBy(F.xxhash64("id", F.lit(17))).collect()]
+    texts[order[0]], texts[order[3]], texts[order[5]] = "x" * 5_000, "y" * 700, "z" * 700
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, toxic int")
+    found = [r["text"] for r in bounded_sample(table(spark, texts), labels, "toxic", F.lit(True), 100, 1_200).collect()]
+    assert found == [texts[i] for i in order if i not in (order[0], order[5])]
+    twice = table(spark, ["same", "same", "other"], ids=[1, 1, 2])
+    assert sorted(r["text"] for r in bounded_sample(twice, labels, "toxic", F.lit(True), 100, 100).collect()) == ["other", "same", "same"]
+    assert bounded_sample(twice, labels, "toxic", F.lit(True), 100, 9).count() == 2
+    assert bounded_sample(table(spark, ["w" * 50]), labels, "toxic", F.lit(True), 100, 8).count() == 0
