@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontam, exactdup, langmix, licenses, mixing, pieces, quality, setsketch, toxicity
+from cartwheel.llm import decontam, exactdup, langmix, licenses, mixing, pieces, quality, repair, setsketch, shares, toxicity, variants
 from cartwheel.llm.blocks import fold
 from cartwheel.llm.lattice import Vocabulary
 
@@ -92,6 +92,38 @@ def op10_languages(spark: SparkSession, folder: str) -> DataFrame:
     return langmix.identify(documents, languages).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows, audits = repair.repaired(repair.damaged(conversations, F.crc32(name.cast("binary")) % 20))
+    found = audits.join(repair.digests(rows, audits).withColumnRenamed("conv", "_conv"), F.col("conv").eqNullSafe(F.col("_conv")))
+    every = conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return every.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
+def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
+    plan, rows, spans = shares.mixed(table(spark, folder, "documents"))
+    taken = spans.groupBy("row").agg(F.sum("n_words").alias("taken"))
+    sources = list(zip(range(len(plan.names)), plan.sizes.tolist(), plan.targets.tolist()))
+    known = spark.createDataFrame(sources, "source_place int, source_size long, target double")
+    return rows.join(known, "source_place").join(taken, "row", "left").select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+    )
+
+
+def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
+    # Runs of fewer letters can never have enough of them, with or without the one that is taken.
+    runs = variants.runs(table(spark, folder, "documents"), min_letters=variants.MIN_LETTERS)
+    found = variants.grouped(variants.counted(variants.misspelt(runs)))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -105,5 +137,8 @@ QUERIES = {
         op8_exact_dedup,
         op9_near_dedup,
         op10_languages,
+        op11_repair,
+        op12_mix,
+        op13_variants,
     )
 }
