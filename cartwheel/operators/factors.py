@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.config import Config
 from cartwheel.functions.vectors import dot, zeros
+from cartwheel.operators.als import fit_als
 from cartwheel.operators.bias import BiasModel, fit_bias
 from cartwheel.operators.ratings import training_triples
-from cartwheel.session import shared_dir, shuffle_partitions, stored
+from cartwheel.session import stored
 
 
 @dataclass(frozen=True)
@@ -62,32 +62,6 @@ def predict_pairs(pairs: DataFrame, model: FactorModel, how: str = "left") -> Da
     )
 
 
-def fit_als(triples: DataFrame, rank: int, max_iter: int, reg: float, nonnegative: bool, seed: int = 42) -> ALSModel:
-    """MLlib ALS over (user_idx, item_idx, rating), lineage cut every second iteration.
-
-    There are as many blocks of users and of items as shuffle partitions, so that training spreads over
-    the cluster; one item's ratings still meet in one task.
-    """
-    shared_dir(triples.sparkSession)
-    blocks = max(10, shuffle_partitions(triples.sparkSession))
-    return ALS(
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
-        intermediateStorageLevel="MEMORY_AND_DISK",
-        finalStorageLevel="MEMORY_AND_DISK",
-        rank=rank,
-        maxIter=max_iter,
-        regParam=reg,
-        nonnegative=nonnegative,
-        userCol="user_idx",
-        itemCol="item_idx",
-        ratingCol="rating",
-        coldStartStrategy="drop",
-        checkpointInterval=2,
-        seed=seed,
-    ).fit(triples)
-
-
 def _decoded(factors: DataFrame, index: DataFrame, key: str, position: str) -> DataFrame:
     decoded = factors.withColumnRenamed("id", position).join(index, position)
     return decoded.select(key, F.col("features").cast("array<double>").alias("features"))
@@ -99,7 +73,7 @@ def fit_factor_model(
     """Biases by aggregation, then ALS on what they leave unexplained; the parameters are stored."""
     bias = fit_bias(ratings, config.bias_damping, keep=True)
     residuals = residual_ratings(ratings, bias)
-    als = fit_als(
+    user_factors, item_factors = fit_als(
         training_triples(residuals, user_index, item_index),
         rank=config.n_factors,
         max_iter=config.epochs if max_iter is None else max_iter,
@@ -107,13 +81,21 @@ def fit_factor_model(
         nonnegative=False,
     )
     n = config.n_factors
-    users = _decoded(als.userFactors, user_index, "user_id", "user_idx")
-    items = _decoded(als.itemFactors, item_index, "item_id", "item_idx")
+    users = _decoded(user_factors, user_index, "user_id", "user_idx")
+    items = _decoded(item_factors, item_index, "item_id", "item_idx")
     users = stored(with_parameters(user_index, "user_id", users, bias.users, n), "users")
     items = stored(with_parameters(item_index, "item_id", items, bias.items, n), "items")
     return FactorModel(bias.mean, users, items, n), bias
 
 
+def als_model(triples: DataFrame, n_factors: int, user_factors: DataFrame, item_factors: DataFrame) -> FactorModel:
+    """Factors by index as a plain dot-product model over user_idx and item_idx, which it calls user_id and item_id."""
+    bias = F.lit(0.0).alias("bias")
+    side = lambda factors, key: factors.select(F.col("id").alias(key), "features", bias)
+    mean = triples.sparkSession.range(1).select(F.lit(0.0).alias("mu"))
+    return FactorModel(mean, side(user_factors, "user_id"), side(item_factors, "item_id"), n_factors)
+
+
 def residual_ratings(ratings: DataFrame, bias: BiasModel) -> DataFrame:
     explained = bias.mu + F.col("_bi") + F.col("_bu")
     return (

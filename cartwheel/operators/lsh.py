@@ -33,6 +33,11 @@ def build_index(items: DataFrame, n_factors: int, n_tables: int = 5, n_functions
     return per_table(keyed).select("table_idx", "hash_key", "item_id", "features")
 
 
+def bucket_sizes(index: DataFrame) -> DataFrame:
+    """(table_idx, hash_key, n_items), which a stored index keeps beside it."""
+    return index.groupBy("table_idx", "hash_key").agg(F.count("*").alias("n_items"))
+
+
 def neighbors(
     index: DataFrame,
     queries: DataFrame,
@@ -40,15 +45,18 @@ def neighbors(
     exclude: DataFrame | None = None,
     key: str = "query_id",
     block_rows: int = BLOCK_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """(key, rank, item_id, score): the `k` best candidates of every query by cosine.
 
-    `queries` is (key, features, k); with `exclude` (key, item_id) it also has `n_excluded`, an
-    upper bound on how many items of that query are excluded. Candidates share the query's exact
-    bucket in at least one table. A bucket is met as matrix products of bounded blocks, each
-    returning at most k + n_excluded items per query, which always holds the k best that remain.
+    `queries` is (key, features, k) and may have `excluded`, an array of items that must not be returned;
+    `exclude` (key, item_id) gives the same as rows. Candidates share the query's exact bucket in at least one
+    table. A bucket is met as matrix products of bounded blocks, in which excluded items are masked, so each
+    returns at most k items per query. `sizes` are the index's `bucket_sizes`, where they are known.
     """
-    return neighbors_of_keyed(index, keyed_queries(queries, planes), exclude, key, block_rows)
+    if exclude is not None:
+        queries = queries.join(exclude.groupBy(key).agg(F.collect_set("item_id").alias("excluded")), key, "left")
+    return neighbors_of_keyed(index, keyed_queries(queries, planes), key, block_rows, sizes)
 
 
 def keyed_queries(queries: DataFrame, planes: np.ndarray, work: str | None = None) -> DataFrame:
@@ -57,34 +65,21 @@ def keyed_queries(queries: DataFrame, planes: np.ndarray, work: str | None = Non
 
 
 def neighbors_of_keyed(
-    index: DataFrame, keyed: DataFrame, exclude: DataFrame | None, key: str, block_rows: int = BLOCK_ROWS
+    index: DataFrame, keyed: DataFrame, key: str, block_rows: int = BLOCK_ROWS, sizes: DataFrame | None = None
 ) -> DataFrame:
-    fetch = F.col("k") if exclude is None else F.col("k") + F.col("n_excluded")
-    probes = per_table(keyed.select(key, "features", "k", fetch.alias("fetch"), "keys"))
-    return best_candidates(_bucket_candidates(index, probes, key, block_rows), exclude, key)
+    excluded = F.col("excluded") if "excluded" in keyed.columns else F.lit(None)
+    item_list = T.ArrayType(index.schema["item_id"].dataType)
+    probes = per_table(keyed.select(key, "features", "k", excluded.cast(item_list).alias("excluded"), "keys"))
+    return best_candidates(_bucket_candidates(index, probes, key, block_rows, sizes), key)
 
 
-def best_candidates(found: DataFrame, exclude: DataFrame | None, key: str = "query_id") -> DataFrame:
-    """Union of the candidates of all tables, less the excluded ones, cut at each query's k."""
-    rows = found.select(key, "item_id", "score", "k", F.lit(False).alias("excluded"))
-    if exclude is not None:
-        nothing = F.lit(None)
-        rows = rows.unionByName(
-            exclude.distinct().select(
-                key,
-                "item_id",
-                nothing.cast("double").alias("score"),
-                nothing.cast("int").alias("k"),
-                F.lit(True).alias("excluded"),
-            )
-        )
-    # One shuffle by query serves the union, the exclusion and the ranking. A query brings at most
-    # its distinct exclusions and its candidates.
+def best_candidates(found: DataFrame, key: str = "query_id") -> DataFrame:
+    """The candidates of all tables and blocks, each once, cut at each query's k."""
+    # One shuffle by query serves the grouping and the ranking: at most k rows for each table and block.
     merged = (
-        rows.repartition(key)
+        found.repartition(key)
         .groupBy(key, "item_id")
-        .agg(F.max("score").alias("score"), F.max("k").alias("k"), F.bool_or("excluded").alias("excluded"))
-        .where(~F.col("excluded"))
+        .agg(F.max("score").alias("score"), F.max("k").alias("k"))
     )
     order = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col("item_id").asc())
     return (
@@ -94,13 +89,13 @@ def best_candidates(found: DataFrame, exclude: DataFrame | None, key: str = "que
     )
 
 
-def _bucket_candidates(index: DataFrame, probes: DataFrame, key: str, block_rows: int) -> DataFrame:
+def _bucket_candidates(index: DataFrame, probes: DataFrame, key: str, block_rows: int, known: DataFrame | None) -> DataFrame:
     bucket = ["table_idx", "hash_key"]
-    count = lambda side, name: side.groupBy(*bucket).agg(F.count("*").alias(name))
     cuts = lambda rows: F.ceil(F.col(rows) / block_rows).cast("int")
 
     # Only buckets that both sides reach, and into how many blocks each side of one is cut.
-    sizes = count(index, "n_items").join(count(probes, "n_queries"), bucket)
+    asked = probes.groupBy(*bucket).agg(F.count("*").alias("n_queries"))
+    sizes = (bucket_sizes(index) if known is None else known).join(asked, bucket)
     plan = sizes.select(*bucket, cuts("n_items").alias("item_blocks"), cuts("n_queries").alias("query_blocks"))
     # Pieces (one block meeting another) share shards of about block_rows rows, one task call each.
     moved = F.sum(F.col("n_items") * cuts("n_queries") + F.col("n_queries") * cuts("n_items"))
@@ -112,12 +107,16 @@ def _bucket_candidates(index: DataFrame, probes: DataFrame, key: str, block_rows
             *[F.col(c).alias(c) for c in side.columns],  # new columns: queries may be index rows
             F.pmod(F.xxhash64(identity), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block"),
             F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"),
+            "item_blocks",
         )
+        # Each piece gets the exclusions of its own item block.
+        in_block = lambda x: F.pmod(F.xxhash64(x), F.col("item_blocks")).cast("int") == F.col("item_block")
         piece = F.concat_ws("|", "table_idx", "hash_key", "query_block", "item_block")
         return (
-            cut.withColumn("piece", piece)
+            (cut if own == "item" else cut.withColumn("excluded", F.filter("excluded", in_block)))
+            .withColumn("piece", piece)
             .withColumn("shard", F.pmod(F.xxhash64("piece"), n_shards))
-            .drop(*bucket, "query_block", "item_block")
+            .drop(*bucket, "query_block", "item_block", "item_blocks")
             .repartition(parts, "shard")
         )
 
@@ -141,9 +140,17 @@ def _piece_scorer(key: str):
             right = right.take(pc.sort_indices(right["item_id"]))
             pieces = pc.unique(right["piece"])
             queries, items = unit_rows(as_matrix(left["features"])), unit_rows(as_matrix(right["features"]))
-            limits = left["fetch"].to_numpy()
-            for q, i in zip(_rows_by_piece(left["piece"], pieces), _rows_by_piece(right["piece"], pieces)):
-                row, col, value = top_products(queries[q], items[i], limits[q])
+            limits = left["k"].to_numpy()
+            masked, item_codes, owners = _masked(left["excluded"], right["item_id"])
+            by_piece = _rows_by_piece(left["piece"].take(pa.array(owners)), pieces)
+            for q, i, m in zip(_rows_by_piece(left["piece"], pieces), _rows_by_piece(right["piece"], pieces), by_piece):
+                cells = None
+                if len(m):
+                    # Both sides of a piece are in order, so places come from searches.
+                    at = np.minimum(np.searchsorted(item_codes[i], masked[m]), len(i) - 1)
+                    here = item_codes[i][at] == masked[m]
+                    cells = np.searchsorted(q, owners[m[here]]), at[here]
+                row, col, value = top_products(queries[q], items[i], limits[q], cells)
                 rows.append(q[row])
                 cols.append(i[col])
                 values.append(value)
@@ -158,6 +165,18 @@ def _piece_scorer(key: str):
     return score
 
 
+def _masked(excluded: pa.ChunkedArray, items: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Excluded items as codes that ascend with the sorted items, the items' own codes, and the rows that exclude."""
+    values = pc.unique(items)
+    own = pc.index_in(items, value_set=values).to_numpy()
+    lists = excluded.combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    codes = pc.fill_null(pc.index_in(lists.flatten(), value_set=values), -1).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(lists)), sizes)
+    known = codes >= 0
+    return codes[known], own, rows[known]
+
+
 def _rows_by_piece(column: pa.ChunkedArray, pieces: pa.Array) -> list[np.ndarray]:
     """Row numbers of every piece, in row order."""
     code = pc.fill_null(pc.index_in(column, value_set=pieces), -1).to_numpy()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import Config
 from cartwheel.functions.vectors import hyperplanes, mean_vector
-from cartwheel.operators.lsh import build_index, keyed_queries, neighbors, neighbors_of_keyed
+from cartwheel.operators.lsh import bucket_sizes, build_index, keyed_queries, neighbors, neighbors_of_keyed
 from cartwheel.operators.popularity import (
     popular_for_each,
     popular_outside,
@@ -29,17 +29,20 @@ class Recommender:
     popularity: DataFrame  # pop_rank, item_id, score
     planes: np.ndarray
     n_factors: int
+    sizes: DataFrame | None = None  # table_idx, hash_key, n_items
 
     @classmethod
     def from_items(cls, items: DataFrame, n_factors: int, config: Config = Config()) -> Recommender:
         """Build from item parameters (item_id, features, bias)."""
         shape = (config.n_hash_tables, config.n_hash_functions, config.lsh_seed)
+        index = stored(build_index(items, n_factors, *shape), "lsh-buckets")
         return cls(
             items.select("item_id", "features"),
-            stored(build_index(items, n_factors, *shape), "lsh-buckets"),
+            index,
             ranked_popularity(popularity_from_bias(items)),
             hyperplanes(n_factors, *shape),
             n_factors,
+            stored(bucket_sizes(index), "lsh-sizes"),
         )
 
 
@@ -65,14 +68,16 @@ def recommend_for_lines(lines: DataFrame, recommender: Recommender, work: str |
     """(basket_id, rank, item_id, score, source) for lines (basket_id, item_id, top_k).
 
     Neighbours of the mean vector come first, then popular items fill up to top_k on their own
-    scale. Nothing that is in the basket is returned. The neighbours are stored: the fill needs
-    their number and their items besides the result itself. `work` is a folder for such tables.
+    scale. Nothing that is in the basket is returned: its known items, a list no longer than the catalogue,
+    go along as the mask of its search. The neighbours are stored: the fill needs their number and their
+    items besides the result itself. `work` is a folder for such tables.
     """
-    counts = [F.max("top_k").cast("int").alias("k"), F.count("item_id").alias("n_lines")]
-    vectors = basket_vectors(lines, recommender.items, recommender.n_factors, *counts)
-    queries = keyed_queries(vectors.withColumnRenamed("n_known", "n_excluded"), recommender.planes, work)
+    known = F.collect_set(F.when(F.col("features").isNotNull(), F.col("item_id")))
+    also = [F.max("top_k").cast("int").alias("k"), F.count("item_id").alias("n_lines"), known.alias("excluded")]
+    vectors = basket_vectors(lines, recommender.items, recommender.n_factors, *also)
+    queries = keyed_queries(vectors, recommender.planes, work)
     in_basket = lines.where(F.col("item_id").isNotNull()).select("basket_id", "item_id")
-    similar = stored(neighbors_of_keyed(recommender.index, queries, in_basket, "basket_id"), "similar", work)
+    similar = stored(neighbors_of_keyed(recommender.index, queries, "basket_id", sizes=recommender.sizes), "similar", work)
 
     found = similar.groupBy("basket_id").agg(F.count("*").alias("n_found"))
     n_found = F.coalesce("n_found", F.lit(0))
@@ -155,9 +160,8 @@ def similar_items(queries: DataFrame, recommender: Recommender, key: str = "quer
     items = recommender.items.select(F.col("item_id").alias(key), "features")
     asked = queries.select(key, F.col("k").cast("int").alias("k")).distinct()
     rows = stored(asked.withColumn("request", F.monotonically_increasing_id()), "asked")
-    known = rows.join(items, key).withColumn("n_excluded", F.lit(1))
-    itself = known.select("request", F.col(key).alias("item_id"))
-    near = neighbors(recommender.index, known.drop(key), recommender.planes, itself, "request")
+    known = rows.join(items, key).withColumn("excluded", F.array(key))
+    near = neighbors(recommender.index, known.drop(key), recommender.planes, key="request", sizes=recommender.sizes)
     unknown = rows.join(items.select(key), key, "left_anti")
     popular = popular_for_each(unknown.select("request", "k"), recommender.popularity, "request")
     found = near.withColumn("source", F.lit("similarity")).unionByName(popular.withColumn("source", F.lit("popularity")))

@@ -7,23 +7,37 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import stable_hash
 
+# A folder for each month: the label's year and month.
+FOLDER_CHARS = 7
 
-def first_test_partition(frame: DataFrame, test_fraction: float) -> Column:
+
+def first_test_partition(labels: DataFrame, test_fraction: float) -> Column:
     """Scalar subquery: the label of the first partition that belongs to the test side.
 
     Counts partitions that exist, not calendar days, and truncates n * (1 - fraction) in double
     arithmetic. The collected labels are at most one per day of the extraction window.
     """
-    labels = F.sort_array(F.collect_set("date_partition"))
-    at = F.floor(F.size(labels) * F.lit(1 - test_fraction)).cast("int")
-    return frame.agg(F.try_element_at(labels, at + 1)).scalar()
+    listed = F.sort_array(F.collect_set("date_partition"))
+    at = F.floor(F.size(listed) * F.lit(1 - test_fraction)).cast("int")
+    return labels.agg(F.try_element_at(listed, at + 1)).scalar()
+
 
+def chronological_split(
+    frame: DataFrame, test_fraction: float, manifest: DataFrame | None = None, folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Earlier partitions train, later ones test.
 
-def chronological_split(frame: DataFrame, test_fraction: float) -> tuple[DataFrame, DataFrame]:
-    """Earlier partitions train, later ones test. On a partitioned table both sides are pruned."""
-    cut = first_test_partition(frame.select("date_partition"), test_fraction)
+    The cut is a scalar of the run, found from the `manifest` (date_partition, ...) of a written dataset or else from the
+    frame. On a dataset that is partitioned by date, or by a `folder` column that holds the beginning of the date, the
+    scan of each side lists its own folders only.
+    """
+    cut = first_test_partition((frame if manifest is None else manifest).select("date_partition"), test_fraction)
     label = F.col("date_partition")
-    return frame.where(label < F.coalesce(cut, F.lit("~"))), frame.where(label >= cut)
+    train, test = label < F.coalesce(cut, F.lit("~")), label >= cut
+    if folder:
+        start = F.substring(cut, 1, FOLDER_CHARS)
+        train, test = train & (F.col(folder) <= F.coalesce(start, F.lit("~"))), test & (F.col(folder) >= start)
+    return frame.where(train), frame.where(test)
 
 
 def partition_sides(frame: DataFrame, test_fraction: float) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from cartwheel.functions.vectors import hyperplanes
-from cartwheel.plans.queries import LEARNING, SAMPLE, SEED
+from cartwheel.operators import grid
+from cartwheel.plans.queries import SAMPLE, SEED
 from cartwheel.plans.tables import BASKET_K, HISTORY, LAST_YEAR, TOP_K, VECTOR_SCALE
 
 N_FACTORS = HISTORY.n_factors
@@ -321,69 +322,154 @@ part(
 )
 
 
-D = LEARNING["n_factors"]
-RATE, DECAY, EPOCHS = LEARNING["learning_rate"], LEARNING["decay"], LEARNING["epochs"]
+# Gradient training: a keyed recursion, one step for the same batch of all cells of a stratum, and one to judge an epoch.
+D, EPOCHS, BATCH = HISTORY.n_factors, HISTORY.epochs, HISTORY.batch_size
+RATE, DECAY = HISTORY.learning_rate, HISTORY.reg_lambda
 
 
 def initial_rows(kind: str, ids: str, key: str) -> str:
     digest = f"md5('{key}|' || {key} || '|' || d || '|{SEED}')"
     uniform = f"CAST(CAST('0x' || substr({digest}, 1, 8) AS BIGINT) AS DOUBLE) / {16**8}.0"
-    return f"""SELECT '{kind}' AS kind, {key} AS id, d,
+    return f"""SELECT '{kind}' AS kind, {key} AS id, d::BIGINT AS d,
        CASE WHEN d < {D} THEN ({uniform} * 2 - 1) * sqrt(6 / ((SELECT count(*) FROM {ids}) + {D})) ELSE 0 END AS w,
-       0.0::DOUBLE AS m, 0.0::DOUBLE AS v
+       0.0::DOUBLE AS m, 0.0::DOUBLE AS v, 0::BIGINT AS t
   FROM {ids}, range({D + 1}) r(d)"""
 
 
-part("w0", "user_ids item_ids", initial_rows("u", "user_ids", "user_id") + " UNION ALL " + initial_rows("i", "item_ids", "item_id"))
-part("mu0", "", "SELECT 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v")
+def block_number(key: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 7) AS BIGINT) % (SELECT b FROM n_blocks)"
 
 
-def errors_of(source: str, w: str, mu: str) -> str:
-    return f"""SELECT t.user_id, t.item_id,
-       any_value(k.w) + sum(CASE WHEN p.d < {D} THEN p.w * q.w ELSE p.w + q.w END) - any_value(t.rating) AS e
-  FROM {source} t JOIN {w} p ON p.kind = 'u' AND p.id = t.user_id
-  JOIN {w} q ON q.kind = 'i' AND q.id = t.item_id AND q.d = p.d, {mu} k
- GROUP BY t.user_id, t.item_id"""
-
-
-def summed_errors(kind: str, own: str, other_kind: str, other: str, e: str, w: str) -> str:
-    return f"""SELECT '{kind}' AS kind, x.{own} AS id, q.d, sum(x.e * CASE WHEN q.d < {D} THEN q.w ELSE 1 END) AS g
-  FROM {e} x JOIN {w} q ON q.kind = '{other_kind}' AND q.id = x.{other} GROUP BY x.{own}, q.d"""
+part(
+    "n_blocks",
+    "train user_ids item_ids",
+    f"""SELECT greatest(1, least({grid.MOST_SPREAD}, (SELECT min(b) FROM range(1000000) r(b), (SELECT count(*) AS n FROM train) c
+                       WHERE b * b * {grid.CELL_BATCHES * BATCH} >= n)),
+       CAST(ceil((SELECT count(*) FROM user_ids) / {grid.BLOCK_ROWS}) AS BIGINT),
+       CAST(ceil((SELECT count(*) FROM item_ids) / {grid.BLOCK_ROWS}) AS BIGINT)) AS b""",
+)
+part(
+    "batches",
+    "train n_blocks",
+    f"""SELECT *, dense_rank() OVER (ORDER BY epoch, stratum, j) + epoch - 1 AS step FROM (
+  SELECT *, (row_number() OVER (PARTITION BY epoch, ub, stratum ORDER BY md5(user_id || '|' || item_id || '|' || epoch || '|{SEED}'))
+             - 1) // {BATCH} AS j
+    FROM (SELECT *, (ib - ub + (SELECT b FROM n_blocks)) % (SELECT b FROM n_blocks) AS stratum
+            FROM (SELECT *, {block_number("user_id")} AS ub, {block_number("item_id")} AS ib FROM train) a) b,
+         range(1, {EPOCHS + 1}) r(epoch)) c""",
+)
+part("judged", "batches", "SELECT epoch, max(step) + 1 AS step FROM batches GROUP BY epoch")
+
+PREDICTED = f"sum(CASE WHEN p.d < {D} THEN p.w * q.w ELSE p.w + q.w END)"
+STEP = "(SELECT step FROM turn)"
+TRAINING = f"""SELECT * FROM (
+WITH RECURSIVE state(kind, id, d, w, m, v, t) USING KEY (kind, id, d) AS (
+  {initial_rows("u", "user_ids", "user_id")}
+  UNION ALL {initial_rows("i", "item_ids", "item_id")}
+  UNION ALL SELECT 'step', 0::BIGINT, 0::BIGINT, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0::BIGINT
+  UNION ALL SELECT 'rate', 0::BIGINT, 0::BIGINT, {RATE}::DOUBLE, 'inf'::DOUBLE, 0.0::DOUBLE, 0::BIGINT
+  UNION (
+  WITH turn AS MATERIALIZED (SELECT CAST(w AS BIGINT) AS step FROM state WHERE kind = 'step'),
+  now AS MATERIALIZED (SELECT * FROM recurring.state),
+  own AS MATERIALIZED (SELECT ub, user_id, item_id, rating FROM batches WHERE step = {STEP}),
+  errors AS MATERIALIZED (
+    SELECT o.ub, o.user_id, o.item_id, any_value(mu) + {PREDICTED} - any_value(o.rating) AS e
+      FROM own o JOIN now p ON p.kind = 'u' AND p.id = o.user_id JOIN now q ON q.kind = 'i' AND q.id = o.item_id AND q.d = p.d, mean
+     GROUP BY o.ub, o.user_id, o.item_id),
+  sizes AS MATERIALIZED (SELECT ub, count(*) AS n FROM own GROUP BY ub),
+  slopes AS MATERIALIZED (
+    SELECT e.ub, 'u' AS kind, e.user_id AS id, q.d, sum(2 / n * e * CASE WHEN q.d < {D} THEN q.w ELSE 1 END) AS g
+      FROM errors e JOIN sizes USING (ub) JOIN now q ON q.kind = 'i' AND q.id = e.item_id GROUP BY e.ub, e.user_id, q.d
+    UNION ALL
+    SELECT e.ub, 'i', e.item_id, p.d, sum(2 / n * e * CASE WHEN p.d < {D} THEN p.w ELSE 1 END)
+      FROM errors e JOIN sizes USING (ub) JOIN now p ON p.kind = 'u' AND p.id = e.user_id GROUP BY e.ub, e.item_id, p.d),
+  clips AS MATERIALIZED (SELECT ub, least(1, 1 / (sqrt(sum(g * g)) + 1e-6)) AS clip FROM slopes GROUP BY ub),
+  moments AS (
+    SELECT kind, id, d, w, 0.9::DOUBLE * m + 0.1::DOUBLE * g2 AS m, 0.999::DOUBLE * v + 0.001::DOUBLE * g2 * g2 AS v, t + 1 AS t
+      FROM (SELECT now.*, g * clip + {DECAY} * w AS g2 FROM slopes JOIN clips USING (ub) JOIN now USING (kind, id, d)) a),
+  judged_now AS MATERIALIZED (SELECT epoch FROM judged WHERE step = {STEP}),
+  losses AS MATERIALIZED (
+    SELECT avg(e * e) AS loss FROM (
+      SELECT any_value(mu) + {PREDICTED} - any_value(x.rating) AS e
+        FROM (SELECT test.* FROM test, judged_now) x JOIN now p ON p.kind = 'u' AND p.id = x.user_id
+        JOIN now q ON q.kind = 'i' AND q.id = x.item_id AND q.d = p.d, mean GROUP BY x.user_id, x.item_id) a),
+  rates AS MATERIALIZED (
+    SELECT CASE WHEN waited > 3 THEN rate * 0.5 ELSE rate END AS rate, best, CASE WHEN waited > 3 THEN 0 ELSE waited END AS waiting FROM (
+      SELECT w AS rate, CASE WHEN loss < m * (1 - 1e-4::DOUBLE) THEN loss ELSE m END AS best,
+             CASE WHEN loss < m * (1 - 1e-4::DOUBLE) THEN 0 ELSE v + 1 END AS waited
+        FROM now, losses, judged_now WHERE kind = 'rate') a)
+  SELECT kind, id, d, w - (SELECT w FROM now WHERE kind = 'rate') * (m / (1 - 0.9::DOUBLE ** t)) / (sqrt(v / (1 - 0.999::DOUBLE ** t)) + 1e-8),
+         m, v, t FROM moments
+  UNION ALL SELECT 'square', {STEP}, 0, (SELECT sum(e * e) FROM errors), 0, 0, 0 FROM turn WHERE EXISTS (SELECT 1 FROM own)
+  UNION ALL SELECT 'loss', epoch, 0, loss, rate, 0, 0 FROM judged_now, losses, rates
+  UNION ALL SELECT 'rate', 0, 0, rate, best, waiting, 0 FROM rates
+  UNION ALL SELECT 'step', 0, 0, step + 1, 0, 0, 0 FROM turn WHERE step < (SELECT max(step) FROM judged)
+  )) SELECT kind, id, w, m FROM state WHERE kind IN ('square', 'loss')) trained"""
+part("training", "train test user_ids item_ids mean batches judged", TRAINING)
+part(
+    "curve",
+    "training batches train",
+    """SELECT l.id AS epoch, s.squares / (SELECT count(*) FROM train) AS train_loss, l.w AS test_loss, l.m AS rate
+  FROM training l JOIN (SELECT epoch, sum(w) AS squares FROM training JOIN (SELECT DISTINCT epoch, step FROM batches) b ON b.step = id
+                         WHERE kind = 'square' GROUP BY epoch) s ON s.epoch = l.id
+ WHERE l.kind = 'loss'""",
+)
 
 
-def adam(columns: str, g: str, t: int) -> str:
-    return f"""SELECT {columns} w - {RATE} * (m2 / (1 - 0.9::DOUBLE ** {t})) / (sqrt(v2 / (1 - 0.999::DOUBLE ** {t})) + 1e-8) AS w,
-       m2 AS m, v2 AS v
-  FROM (SELECT *, m * 0.9::DOUBLE + g * 0.1::DOUBLE AS m2, v * 0.999::DOUBLE + g * g * 0.001::DOUBLE AS v2 FROM ({g}) a) b"""
+# Alternating least squares: a keyed recursion over half steps, each of which eliminates all its systems one column at a time.
+def als_parts(triples: str, rank: int, iterations: int, reg: float) -> str:
+    r = range(1, rank + 1)
+    number = f"CAST(CAST('0x' || substr(md5(id || '|' || d || '|{SEED}'), 1, 8) AS BIGINT) AS DOUBLE) / {16**8}.0"
+    vector = ", ".join(f"n.x[{a}] AS x{a}" for a in r)
+    cells = [(a, b) for a in r for b in r if a <= b]
+    sums = [f"sum(x{a} * x{b})" + (f" + {reg} * count(*)" if a == b else "") + f" AS g{a}_{b}" for a, b in cells]
+    sums += [f"sum(x{a} * rating) AS h{a}" for a in r]
+    steps = []
+    for k in r:  # take column k out of the rows below, of which the upper triangle is enough
+        new = [f"g{a}_{b} - g{k}_{a} * g{k}_{b} / g{k}_{k} AS g{a}_{b}" if a > k else f"g{a}_{b}" for a, b in cells]
+        new += [f"h{a} - g{k}_{a} * h{k} / g{k}_{k} AS h{a}" if a > k else f"h{a}" for a in r]
+        steps.append(f"m{k} AS MATERIALIZED (SELECT kind, id, {', '.join(new)} FROM m{k - 1}),")
+    for k in reversed(r):  # and put the numbers in, last one first
+        known = "".join(f" - g{k}_{b} * y{b}" for b in range(k + 1, rank + 1))
+        steps.append(f"b{k} AS MATERIALIZED (SELECT *, (h{k}{known}) / g{k}_{k} AS y{k} FROM {f'b{k + 1}' if k < rank else f'm{rank}'}),")
+    below = "\n  ".join(steps)
+    return f"""SELECT * FROM (
+WITH RECURSIVE solved(kind, id, half, x) USING KEY (kind, id) AS (
+  SELECT 'i' AS kind, id, 0::BIGINT AS half, list(({number} * 2 - 1) / sqrt({rank}::DOUBLE) ORDER BY d) AS x
+    FROM (SELECT DISTINCT item_idx::BIGINT AS id FROM {triples}) a, range({rank}) b(d) GROUP BY id
+  UNION (
+  WITH turn AS MATERIALIZED (SELECT max(half) + 1 AS half, CASE max(half) % 2 WHEN 0 THEN 'i' ELSE 'u' END AS known FROM solved),
+  now AS MATERIALIZED (SELECT s.* FROM recurring.solved s JOIN turn ON s.kind = turn.known WHERE turn.half <= {2 * iterations}),
+  pairs AS (SELECT 'u' AS kind, user_idx::BIGINT AS id, t.rating, {vector} FROM {triples} t JOIN now n ON n.kind = 'i' AND n.id = t.item_idx
+            UNION ALL
+            SELECT 'i', item_idx, t.rating, {vector} FROM {triples} t JOIN now n ON n.kind = 'u' AND n.id = t.user_idx),
+  m0 AS MATERIALIZED (SELECT kind, id, {", ".join(sums)} FROM pairs GROUP BY kind, id),
+  {below}
+  done AS (SELECT kind, id, [{", ".join(f"y{a}" for a in r)}] AS x FROM b1)
+  SELECT done.kind, id, half, x FROM done, turn)
+) SELECT kind, id, x FROM solved) s"""
 
 
-for t in range(1, EPOCHS + 1):
-    w, mu, e = f"w{t - 1}", f"mu{t - 1}", f"e{t}"
-    part(e, f"train {w} {mu}", errors_of("train", w, mu))
-    part(
-        f"g{t}",
-        f"{e} {w}",
-        summed_errors("u", "user_id", "i", "item_id", e, w)
-        + " UNION ALL "
-        + summed_errors("i", "item_id", "u", "user_id", e, w),
-    )
-    part(
-        f"s{t}",
-        f"{e} g{t}",
-        f"""SELECT f, mean_gradient, least(1, 1 / (sqrt(f * f * power + mean_gradient * mean_gradient) + 1e-6)) AS clip
-  FROM (SELECT 2 / count(*) AS f, 2 / count(*) * sum(e) AS mean_gradient,
-               (SELECT sum(g * g) FROM g{t}) AS power FROM {e}) z""",
-    )
-    gradient = f"""SELECT p.*, coalesce(g.g, 0) * clip * f + p.w * {DECAY} AS g
-  FROM {w} p LEFT JOIN g{t} g ON g.kind = p.kind AND g.id = p.id AND g.d = p.d, s{t}"""
-    part(f"w{t}", f"{w} g{t} s{t}", adam("kind, id, d,", gradient, t))
-    part(f"mu{t}", f"{mu} s{t}", adam("", f"SELECT {mu}.*, mean_gradient * clip + w * {DECAY} AS g FROM {mu}, s{t}", t))
-    part(f"h{t}", f"test w{t} mu{t}", errors_of("test", f"w{t}", f"mu{t}"))
+part(
+    "residuals",
+    "train user_idx item_idx user_bias item_bias mean",
+    """SELECT user_idx, item_idx, rating - (mu + i.bias + u.bias) AS rating
+  FROM train JOIN item_bias i USING (item_id) JOIN user_bias u USING (user_id) JOIN user_idx USING (user_id)
+  JOIN item_idx USING (item_id), mean""",
+)
+part("als", "residuals", als_parts("residuals", N_FACTORS, HISTORY.epochs, HISTORY.reg_lambda))
+for kind, ids, key in (("u", "user", "user_id"), ("i", "item", "item_id")):
     part(
-        f"loss{t}",
-        f"{e} h{t}",
-        f"SELECT {t} AS epoch, (SELECT avg(e * e) FROM {e}) AS train_loss, (SELECT avg(e * e) FROM h{t}) AS test_loss",
+        f"als_{ids}s",
+        f"{ids}_idx als {ids}_bias",
+        f"""SELECT x.{key}, coalesce(a.x, list_transform(range({N_FACTORS}), lambda z: 0.0::DOUBLE)) AS features, coalesce(b.bias, 0) AS bias
+  FROM {ids}_idx x LEFT JOIN als a ON a.kind = '{kind}' AND a.id = x.{ids}_idx LEFT JOIN {ids}_bias b ON b.{key} = x.{key}""",
     )
+part(
+    "als_scored",
+    "als_users als_items mean",
+    f"SELECT u.user_id, i.item_id, round({SCORE}, 8) AS score FROM als_users u, als_items i, mean",
+)
 
 
 def text(array: str) -> str:
@@ -578,13 +664,20 @@ SELECT a.item_id, CAST(pop_rank AS INT), p.item_id, round(score, 8), 'popularity
   UNION ALL SELECT run_id, 'log_count', ln(n_pairs + 1) FROM monthly) m""",
     ),
     "learning_curve": sql(
-        " ".join(f"loss{t}" for t in range(1, EPOCHS + 1)),
-        f"""SELECT 'gradient' AS run_id, CAST(epoch AS INT) AS epoch, round(train_loss, 6) AS train_loss,
+        "curve",
+        """SELECT 'gradient' AS run_id, CAST(epoch AS INT) AS epoch, round(train_loss, 6) AS train_loss,
        round(test_loss, 6) AS test_loss, round(sqrt(train_loss), 6) AS train_rmse, round(sqrt(test_loss), 6) AS test_rmse,
-       CAST({RATE} AS DOUBLE) AS learning_rate,
+       rate AS learning_rate,
        coalesce(sqrt(test_loss) < min(sqrt(test_loss)) OVER (ORDER BY epoch
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_best
-  FROM ({" UNION ALL ".join(f"SELECT * FROM loss{t}" for t in range(1, EPOCHS + 1))}) l""",
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_best FROM curve""",
+    ),
+    "als_ratings_rmse": sql(
+        "test als_users als_items mean",
+        f"""SELECT round(sqrt(avg(({SCORE} - rating) * ({SCORE} - rating))), 6) AS rmse, count(*) AS n_pairs
+  FROM test JOIN als_users u USING (user_id) JOIN als_items i USING (item_id), mean""",
+    ),
+    "als_topk": sql(
+        "als_scored", f"SELECT user_id, rank, item_id, round(score, 2) AS score FROM ({ranked_scores('als_scored')}) b"
     ),
     "champion_runs": sql(
         "monthly",
@@ -607,3 +700,4 @@ ORACLE["evaluation_saved"] = (
     f"SELECT e.*, '{LAST_YEAR.end_date}' AS eval_date, CAST(1.5 AS DOUBLE) AS training_rmse FROM ({ORACLE['evaluation_summary']}) e"
 )
 ORACLE["served_champion"] = ORACLE["request_recommendations"]
+ORACLE["stream_follows_champion"] = f"SELECT * FROM ({ORACLE['request_recommendations']}) r WHERE basket_id % 2 = 1"

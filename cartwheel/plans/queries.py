@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.config import Columns
+from cartwheel.config import Columns, Config
 from cartwheel.functions.vectors import SCORE_DIGITS
 from cartwheel.operators import evaluate, extract, factors, index, itemsets, metrics, popularity, profile, runs, split
 from cartwheel.operators.factors import predict_pairs
@@ -24,6 +24,7 @@ from cartwheel.session import shared_path
 from cartwheel.sources.artifacts import (
     append_metrics,
     champion,
+    follow_champion,
     load_recommender,
     promote,
     read_metrics,
@@ -39,7 +40,16 @@ QUERIES: dict[str, Query] = {}
 
 SEED = 42
 SAMPLE = 500
-LEARNING = {"n_factors": 8, "learning_rate": 0.5, "decay": 0.001, "epochs": 4}
+
+
+def learning(config: Config) -> dict[str, float]:
+    return {
+        "n_factors": config.n_factors,
+        "learning_rate": config.learning_rate,
+        "decay": config.reg_lambda,
+        "epochs": config.epochs,
+        "batch_size": config.batch_size,
+    }
 
 
 def query(build: Callable[[Job], DataFrame]) -> Callable[[Job], DataFrame]:
@@ -148,12 +158,12 @@ def item_index(job: Job) -> DataFrame:
 
 @query
 def ratings_train(job: Job) -> DataFrame:
-    return rounded(training_triples(job.train, user_index_of(job), item_index_of(job)), "rating")
+    return rounded(training_triples(job.train, *job.indexes), "rating")
 
 
 @query
 def ratings_test(job: Job) -> DataFrame:
-    return rounded(training_triples(job.test, user_index_of(job), item_index_of(job)), "rating")
+    return rounded(training_triples(job.test, *job.indexes), "rating")
 
 
 @query
@@ -412,22 +422,23 @@ def champion_runs(job: Job) -> DataFrame:
 
 @query
 def learning_curve(job: Job) -> DataFrame:
-    """Loss, error and best flag of every epoch of gradient training."""
+    """Loss, error and best flag of every epoch of gradient training with the shipped settings."""
     users, items = job.ids("network_userid", "user_id"), job.ids("item_id", "item_id")
-    _, curve = fit_gradient(job.train, job.test, users, items, run_id="gradient", seed=SEED, **LEARNING)
+    _, curve = fit_gradient(job.train, job.test, users, items, run_id="gradient", seed=SEED, **learning(job.config))
     return rounded(curve, "train_loss", "test_loss", "train_rmse", "test_rmse")
 
 
 @query
 def als_ratings_rmse(job: Job) -> DataFrame:
-    model, _ = factors.fit_factor_model(job.train, user_index_of(job), item_index_of(job), job.config)
-    return evaluate.heldout_rmse(model, job.test)
+    model, _ = factors.fit_factor_model(job.train, *job.indexes, job.config)
+    return rounded(evaluate.heldout_rmse(model, job.test), "rmse")
 
 
 @query
 def als_topk(job: Job) -> DataFrame:
-    model, _ = factors.fit_factor_model(job.train, user_index_of(job), item_index_of(job), job.config)
-    return top_items(model, model.users, TOP_K)
+    model, _ = factors.fit_factor_model(job.train, *job.indexes, job.config)
+    # A learned model carries the rounding errors of all its steps, so fewer digits are compared.
+    return rounded(top_items(model, model.users, TOP_K), "score", digits=2)
 
 
 @query
@@ -441,8 +452,10 @@ def als_rmse_by_quantity(job: Job) -> DataFrame:
         .select("user_idx", "item_idx", "order_id", F.col("item_quantity").alias("rating"))
     )
     sided = split.hash_split(lines, ["user_idx", "item_idx", "order_id"], 0.2, SEED)
-    model = factors.fit_als(sided.where("side = 'train'"), rank=5, max_iter=50, reg=0.01, nonnegative=True)
-    return metrics.rmse_by(model.transform(sided.where("side = 'test'")), "rating")
+    train = sided.where("side = 'train'")
+    model = factors.als_model(train, 5, *factors.fit_als(train, rank=5, max_iter=50, reg=0.01, nonnegative=True))
+    test = sided.where("side = 'test'").withColumnsRenamed({"user_idx": "user_id", "item_idx": "item_id"})
+    return metrics.rmse_by(predict_pairs(test, model, how="inner"), "rating")
 
 
 # Sinks: written, read back, and compared like the frames they hold
@@ -488,5 +501,22 @@ def served_champion(job: Job) -> DataFrame:
     return rounded(recommend_baskets(job.requests(), served).drop("request"), "score", digits=SCORE_DIGITS)
 
 
+@query
+def stream_follows_champion(job: Job) -> DataFrame:
+    """The requests as two files of a stream; between their batches a second model is promoted."""
+    spark, latest = job.spark, shared_path(job.spark, "latest")
+    asked, out, progress = (shared_path(spark, name) for name in ("requests", "answers", "progress"))
+    turned = replace(job.model, items=job.items.withColumns({"features": F.reverse("features"), "bias": -F.col("bias")}))
+    current = follow_champion(spark, latest, job.config)
+    for part, (model, error) in enumerate(((turned, 2.0), (job.model, 1.0))):
+        promote(spark, model, error, latest, only_better=True)
+        job.requests().where(F.pmod("basket_id", F.lit(2)) == part).write.mode("append").parquet(asked)
+        stream = read_requests(spark, asked, job.items.schema["item_id"].dataType)
+        serve(stream, current, out, progress).awaitTermination()
+    answers = spark.read.parquet(f"{out}/recommendations")
+    # The first batch's answers are of the first model.
+    return rounded(answers.where("batch = 1").drop("batch", "request"), "score", digits=SCORE_DIGITS)
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return QUERIES["basket_recommendations"](spark, folder)

@@ -17,8 +17,8 @@ from cartwheel.operators.ratings import user_item_ratings
 from cartwheel.operators.runs import metrics_long
 from cartwheel.operators.split import chronological_split
 from cartwheel.session import stored
-from cartwheel.sources.artifacts import append_metrics, champion, load_model, promote, save_evaluation, save_model
-from cartwheel.sources.partitions import read_partitions, write_partitions
+from cartwheel.sources.artifacts import append_metrics, load_model, promote, save_evaluation, save_model
+from cartwheel.sources.partitions import read_manifest, read_partitions, write_partitions
 from cartwheel.sources.purchases import read_purchases_csv
 
 
@@ -42,7 +42,7 @@ def train_stage(spark: SparkSession, config: Config, run_id: str, method: str =
     """Split, index, fit and save one model, and append its metrics to the log."""
     cols = config.columns
     whole = read_partitions(spark, config.output_base)
-    train_side, test_side = chronological_split(whole, config.test_fraction)
+    train_side, test_side = chronological_split(whole, config.test_fraction, read_manifest(spark, config.output_base))
     if train_side.isEmpty():
         raise ValueError("no date partitions on the train side")
     train = stored(user_item_ratings(train_side, cols), "train")
@@ -52,7 +52,16 @@ def train_stage(spark: SparkSession, config: Config, run_id: str, method: str =
     path, log = f"{config.checkpoint_base}/{run_id}", f"{config.checkpoint_base}/run_metrics"
     if method == "gradient":
         fitted, curve = fit_gradient(
-            train, test, users, items, config.n_factors, config.learning_rate, config.reg_lambda, config.epochs, run_id
+            train,
+            test,
+            users,
+            items,
+            config.n_factors,
+            config.learning_rate,
+            config.reg_lambda,
+            config.epochs,
+            config.batch_size,
+            run_id,
         )
         names = ["train_loss", "test_loss", "train_rmse", "test_rmse", "learning_rate"]
         append_metrics(metrics_long(curve, "run_id", "epoch", names), log)
@@ -81,8 +90,4 @@ def evaluate_stage(trained: Trained, config: Config) -> tuple[DataFrame, str]:
 
 def select_stage(spark: SparkSession, config: Config, trained: Trained) -> bool:
     """Replace the champion when the new test RMSE is strictly lower, or when there is none."""
-    before = champion(spark, config.latest_model_dir)
-    better = before is None or trained.test_rmse < before[1]
-    if better:
-        promote(spark, trained.model, trained.test_rmse, config.latest_model_dir)
-    return better
+    return promote(spark, trained.model, trained.test_rmse, config.latest_model_dir, only_better=True) is not None

@@ -13,10 +13,12 @@ from cartwheel.functions.scalars import parse_basket
 from cartwheel.operators.bias import BiasModel, fit_bias
 from cartwheel.operators.extract import interactions
 from cartwheel.operators.factors import FactorModel, with_parameters
+from cartwheel.operators.index import id_index
 from cartwheel.operators.ratings import user_item_ratings
 from cartwheel.operators.recommend import Recommender
-from cartwheel.operators.split import chronological_split
-from cartwheel.session import stored, tune
+from cartwheel.operators.split import FOLDER_CHARS, chronological_split
+from cartwheel.session import shared_path, stored, tune
+from cartwheel.sources.partitions import read_manifest, read_partitions, write_partitions
 from cartwheel.sources.purchases import described_purchases, purchases_from_orders
 
 # The whole order history without a window, and its last year for the jobs that show the date window.
@@ -57,14 +59,22 @@ class Job:
     def interactions(self) -> DataFrame:
         return interactions(self.purchases, self.config)
 
+    @cached_property
+    def history_path(self) -> str:
+        """The interactions as a table in folders by month: everything about the model reads them several times."""
+        path = shared_path(self.spark, "interactions")
+        write_partitions(self.interactions.withColumn("month", F.substring("date_partition", 1, FOLDER_CHARS)), path, "month")
+        return path
+
     @cached_property
     def history(self) -> DataFrame:
-        """The interactions as a table: everything about the model reads them several times."""
-        return stored(self.interactions, "interactions")
+        return read_partitions(self.spark, self.history_path).withColumn("month", F.col("month").cast("string"))
 
     @cached_property
     def sides(self) -> tuple[DataFrame, DataFrame]:
-        return chronological_split(self.history, self.config.test_fraction)
+        """Train and test side; each scans its own months."""
+        manifest = read_manifest(self.spark, self.history_path)
+        return chronological_split(self.history, self.config.test_fraction, manifest, "month")
 
     @cached_property
     def train(self) -> DataFrame:
@@ -82,6 +92,14 @@ class Job:
         """Distinct ids of both sides."""
         return self.history.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct()
 
+    @cached_property
+    def indexes(self) -> tuple[DataFrame, DataFrame]:
+        """Users and items of both sides by number, from the stored history."""
+        return (
+            id_index([self.history], "network_userid", "user_id", "user_idx"),
+            id_index([self.history], "item_id", "item_id", "item_idx"),
+        )
+
     def given_factors(self, ids: DataFrame, key: str, first: int) -> DataFrame:
         """Factors assembled from two rows of `embeddings`: eight elements of each."""
         vectors = self.table("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.functions.vectors import EPSILON, cosine, hyperplanes
-from cartwheel.operators.lsh import build_index, neighbors
+from cartwheel.operators.lsh import _bucket_candidates, bucket_sizes, build_index, keyed_queries, neighbors, per_table
 from cartwheel.sources.artifacts import load_or_build
 
 N, D = 300, 16
@@ -72,7 +72,7 @@ def test_excluded_items_never_return_and_are_replaced(spark, items, vectors, blo
     index = build_index(items, D)
     exclude = {i: set(range(100, 160)) | {i} for i in range(90, 130)}
     queries = items.where("item_id >= 90 and item_id < 130").select(
-        F.col("item_id").alias("query_id"), "features", F.lit(5).alias("k"), F.lit(61).alias("n_excluded")
+        F.col("item_id").alias("query_id"), "features", F.lit(5).alias("k")
     )
     rows = spark.createDataFrame([(q, i) for q, s in exclude.items() for i in s], "query_id long, item_id long")
     found = listed(neighbors(index, queries, planes, rows, block_rows=block_rows))
@@ -80,6 +80,22 @@ def test_excluded_items_never_return_and_are_replaced(spark, items, vectors, blo
     assert found == {q: items for q, items in want.items() if items}
 
 
+def test_a_meeting_returns_at_most_k_rows(items):
+    """However much is excluded: masked items make no rows."""
+    planes = hyperplanes(D, 2, 3, 42)
+    index = build_index(items, D, 2, 3)
+    everything = F.array(*[F.lit(i).cast("long") for i in range(0, N, 2)])
+    queries = items.select(F.col("item_id").alias("query_id"), "features", F.lit(2).alias("k"), everything.alias("excluded"))
+    keyed = keyed_queries(queries, planes)
+    probes = per_table(keyed.select("query_id", "features", "k", "excluded", "keys"))
+    made = _bucket_candidates(index, probes, "query_id", 50_000, bucket_sizes(index))
+    assert made.where("item_id % 2 = 0").isEmpty()
+    per_query = made.groupBy("query_id").count().agg(F.max("count")).first()[0]
+    assert 0 < per_query <= 2 * 2
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan
+
+
 def test_zero_vector_meets_only_the_all_zero_bucket(spark, items, vectors):
     planes = hyperplanes(D, 2, 3, 42)
     index = build_index(items, D, 2, 3)

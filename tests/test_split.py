@@ -1,9 +1,11 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators.index import dense_index, frequency_index, id_index
 from cartwheel.operators.split import chronological_split, hash_split, partition_sides, sample_users
-from cartwheel.sources.partitions import read_partitions, write_partitions, write_split
+from cartwheel.sources.partitions import read_manifest, read_partitions, write_partitions, write_split
 
 
 def days(spark, n):
@@ -34,6 +36,29 @@ def test_written_split(spark, tmp_path):
     assert read_partitions(spark, test).count() == 2
 
 
+def test_sides_scan_their_own_folders(spark, tmp_path):
+    path, folder = str(tmp_path / "months"), "month"
+    write_partitions(days(spark, 200).withColumn(folder, F.substring("date_partition", 1, 7)), path, folder)
+    manifest = read_manifest(spark, path)
+    assert manifest.count() == 200
+    train, test = chronological_split(read_partitions(spark, path), 0.2, manifest, folder)
+    folders = lambda side: {r[0] for r in side.select(F.regexp_extract(F.input_file_name(), "month=([0-9_]+)", 1)).distinct().collect()}
+    assert folders(train) == {f"2025_{m:02d}" for m in range(1, 7)}
+    assert folders(test) == {f"2025_{m:02d}" for m in range(6, 9)}  # the cut lies inside June
+    for side, rows in ((train, 160), (test, 40)):
+        assert side.count() == rows
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        filters = re.findall(r"PartitionFilters: (.*?)PushedFilters", plan)
+        assert any("month#" in f and "subquery" in f.lower() for f in filters), plan
+
+
+def test_manifest_of_an_empty_and_of_a_foreign_dataset(spark, tmp_path):
+    write_partitions(days(spark, 0), str(tmp_path / "none"))
+    assert read_manifest(spark, str(tmp_path / "none")).count() == 0
+    days(spark, 5).write.partitionBy("date_partition").parquet(str(tmp_path / "foreign"))
+    assert {r[0] for r in read_manifest(spark, str(tmp_path / "foreign")).collect()} == {f"2025_01_{d:02d}" for d in range(1, 6)}
+
+
 def test_hash_split_is_repeatable_and_near_its_share(spark):
     frame = spark.range(20_000)
     once = hash_split(frame, ["id"], 0.2, 1)

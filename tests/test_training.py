@@ -1,3 +1,4 @@
+import hashlib
 import math
 from dataclasses import replace
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.config import Config
+from cartwheel.operators import grid
 from cartwheel.operators.bias import fit_bias
 from cartwheel.operators.evaluate import heldout_rmse
 from cartwheel.operators.factors import fit_factor_model
@@ -36,48 +38,100 @@ def ids(spark, n, key):
     return spark.range(n).withColumnRenamed("id", key)
 
 
-def plain_adam(pairs, w_users, w_items, rate, decay, epochs):
-    """The same training on dense arrays."""
-    train, test = pairs[:45], pairs[45:]
-    params = [w_users.copy(), w_items.copy(), np.zeros(1)]
-    m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    predict = lambda u, i: params[2][0] + params[0][u, D] + params[1][i, D] + params[0][u, :D] @ params[1][i, :D]
-    curve = []
-    for t in range(1, epochs + 1):
-        grads = [np.zeros_like(p) for p in params]
-        loss = 0.0
-        for u, i, r in train:
-            e = predict(u, i) - r
-            loss += e * e / len(train)
-            grads[0][u] += 2 / len(train) * e * np.append(params[1][i, :D], 1)
-            grads[1][i] += 2 / len(train) * e * np.append(params[0][u, :D], 1)
-            grads[2][0] += 2 / len(train) * e
-        norm = math.sqrt(sum((g * g).sum() for g in grads))
-        for k in range(3):
-            g = grads[k] * min(1, 1 / (norm + 1e-6)) + decay * params[k]
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.999 * v[k] + 0.001 * g * g
-            params[k] = params[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
-        curve.append((loss, sum((predict(u, i) - r) ** 2 for u, i, r in test) / len(test)))
+def plain_training(pairs, test, w, blocks, rate, decay, epochs, batch, seed=42):
+    """The same strata, cells and batches in a plain loop; parameters by (kind, id)."""
+    digest = lambda *x: hashlib.md5("|".join(map(str, x)).encode()).hexdigest()
+    block = lambda x: int(digest(x)[:7], 16) % blocks
+    mean = np.mean([r for *_, r in pairs])
+    w = {k: x.copy() for k, x in w.items()}
+    m, v, steps = ({k: x * 0 for k, x in w.items()} for _ in range(3))
+    predict = lambda u, i: mean + w["u", u][D] + w["i", i][D] + w["u", u][:D] @ w["i", i][:D]
+    plateau, curve = Plateau(rate), []
+    for epoch in range(1, epochs + 1):
+        loss, now = 0.0, plateau.rate
+        for stratum in range(blocks):
+            for cell in range(blocks):
+                own = [p for p in pairs if block(p[0]) == cell and (block(p[1]) - cell) % blocks == stratum]
+                own.sort(key=lambda p: digest(p[0], p[1], epoch, seed))
+                for lo in range(0, len(own), batch):
+                    part, grads = own[lo : lo + batch], {}
+                    for u, i, r in part:
+                        e = predict(u, i) - r
+                        loss += e * e
+                        for key, other in ((("u", u), ("i", i)), (("i", i), ("u", u))):
+                            grads[key] = grads.get(key, 0) + 2 / len(part) * e * np.append(w[other][:D], 1)
+                    norm = math.sqrt(sum((g * g).sum() for g in grads.values()))
+                    for key, g in grads.items():
+                        g = g * min(1, 1 / (norm + 1e-6)) + decay * w[key]
+                        steps[key] += 1
+                        m[key] = 0.9 * m[key] + 0.1 * g
+                        v[key] = 0.999 * v[key] + 0.001 * g * g
+                        t = steps[key][0]
+                        w[key] -= now * (m[key] / (1 - 0.9**t)) / (np.sqrt(v[key] / (1 - 0.999**t)) + 1e-8)
+        judged = float(np.mean([(predict(u, i) - r) ** 2 for u, i, r in test]))
+        curve.append((loss / len(pairs), judged, plateau.step(judged)))
     return curve
 
 
-def test_gradient_training_matches_dense_adam(spark, pairs, sides):
+@pytest.mark.parametrize("blocks,batch", [(1, 7), (3, 4), (2, 100)])
+def test_gradient_training_matches_a_plain_loop(spark, pairs, sides, blocks, batch):
     users, items = ids(spark, USERS, "user_id"), ids(spark, ITEMS, "item_id")
-    start = lambda frame, key: np.array(
-        [r.w for r in initial_parameters(frame, key, D, 42).orderBy(key).collect()]
-    )
-    expected = plain_adam(pairs, start(users, "user_id"), start(items, "item_id"), 0.3, 0.01, 4)
-    model, curve = fit_gradient(*sides, users, items, D, 0.3, 0.01, 4)
+    start = {}
+    for kind, frame, key in (("u", users, "user_id"), ("i", items, "item_id")):
+        start.update({(kind, r[key]): np.array(r.w) for r in initial_parameters(frame, key, D, 42).collect()})
+    expected = plain_training(pairs[:45], pairs[45:], start, blocks, 0.1, 0.01, 4, batch)
+    model, curve = fit_gradient(*sides, users, items, D, 0.1, 0.01, 4, batch, blocks=blocks)
     rows = curve.orderBy("epoch").collect()
-    assert [r.train_loss for r in rows] == pytest.approx([e[0] for e in expected])
-    assert [r.test_loss for r in rows] == pytest.approx([e[1] for e in expected])
+    assert [(r.train_loss, r.test_loss, r.learning_rate) for r in rows] == [pytest.approx(e) for e in expected]
     assert rows[-1].train_loss < rows[0].train_loss
     best = min(r.test_rmse for r in rows)
     assert heldout_rmse(model, sides[1]).first().rmse == pytest.approx(best)
     assert [r.is_best for r in rows] == [r.test_rmse == min(x.test_rmse for x in rows[: n + 1]) for n, r in enumerate(rows)]
 
 
+def test_shipped_settings_learn_structure(spark):
+    """With the default rate, batches and epochs the test error falls below that of the mean."""
+    rng = np.random.default_rng(6)
+    p, q, b = rng.normal(size=(300, 2)), rng.normal(size=(200, 2)), rng.normal(size=200)
+    cells = rng.permutation(300 * 200)[:40_000]
+    rows = [(int(c // 200), int(c % 200), float(5 + b[c % 200] + p[c // 200] @ q[c % 200])) for c in cells]
+    schema = "user_id long, item_id long, rating double"
+    train, test = spark.createDataFrame(rows[:32_000], schema), spark.createDataFrame(rows[32_000:], schema)
+    shipped = Config()
+    model, curve = fit_gradient(
+        train, test, ids(spark, 300, "user_id"), ids(spark, 200, "item_id"),
+        shipped.n_factors, shipped.learning_rate, shipped.reg_lambda, shipped.epochs, shipped.batch_size,
+    )
+    of_mean = np.std([r for *_, r in rows[32_000:]])
+    assert curve.count() == shipped.epochs
+    assert heldout_rmse(model, test).first().rmse < 0.9 * of_mean
+
+
+def test_a_stratum_reads_its_own_folder_and_shares_no_id(spark, sides):
+    made = grid.ratings_grid(sides[0], 3)
+    cells = made.groupBy("stratum", "user_block", (F.pmod(F.col("user_block") + F.col("stratum"), F.lit(3))).alias("item_block"))
+    for c in cells.agg(F.collect_set("user_id").alias("u"), F.collect_set("item_id").alias("i")).collect():
+        assert {int(hashlib.md5(x.encode()).hexdigest()[:7], 16) % 3 for x in c.u} == {c.user_block}
+        assert {int(hashlib.md5(x.encode()).hexdigest()[:7], 16) % 3 for x in c.i} == {c.item_block}
+    plan = made.where("stratum = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(stratum" in plan and made.count() == sides[0].count()
+
+
+def test_blocks_follow_the_ratings():
+    assert grid.square_blocks(0, 0, 0, 512) == 1
+    assert grid.square_blocks(47_000, 1_500, 2_000, 512) == 4
+    assert grid.square_blocks(10**12, 10**9, 10**7, 512) == 4_000
+
+
+def test_training_without_ratings_or_with_unknown_ids(spark, sides):
+    empty = sides[0].limit(0)
+    users, items = ids(spark, 2, "user_id"), ids(spark, 2, "item_id")
+    _, curve = fit_gradient(empty, empty, users, items, D, 0.1, 0.01, 2, 8)
+    assert [(r.train_loss, r.test_loss) for r in curve.collect()] == [(0, 0), (0, 0)]
+    model, _ = fit_gradient(*sides, users, items, D, 0.1, 0.01, 2, 8)
+    assert model.users.count() == 2 and model.items.count() == 2
+
+
 def test_initial_factors_are_uniform_within_the_xavier_bound(spark):
     rows = np.array([r.w for r in initial_parameters(ids(spark, 500, "user_id"), "user_id", 8, 1).collect()])
     bound = math.sqrt(6 / 508)
