@@ -294,7 +294,8 @@ def mixed(
         end.alias("end"),
         F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((end - 1) / width))).alias("block"),
     )
-    met = pieces.join(drawn(documents.sparkSession, made), ["source_place", "block"])
+    # A range of tasks looks small to the optimiser; the draws that it makes are not to be broadcast.
+    met = pieces.join(drawn(documents.sparkSession, made).hint("merge"), ["source_place", "block"])
     lo = F.greatest(F.col("start"), F.col("block") * width)
     hi = F.least(F.col("end"), F.col("block") * width + F.col("words"))
     spans = met.select("row", "shard", "place", "turn", (lo - F.col("start")).alias("first_word"), (hi - lo).alias("n_words"))
