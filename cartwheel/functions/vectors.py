@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 EPSILON = 1e-8
 SCORE_DIGITS = 8  # scores are compared after rounding, so that equal items tie in every engine
 TILE_CELLS = 4_000_000
+STRIP = 2_048
 
 
 def dot(left: Column, right: Column, dim: int) -> Column:
@@ -99,6 +100,62 @@ def top_products(
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def top_bounded_products(
+    queries: np.ndarray, items: np.ndarray, k: int, masked: tuple[np.ndarray, np.ndarray] | None = None, strip: int = STRIP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """What `top_products` finds with a limit of k, without scoring every pair, and the number of pairs left out.
+
+    Rows end with (1, c) for queries and (b, 1) for items. Items are taken in strips, the long vectors first; a product is at
+    most |q| times the longest vector left, plus the largest b left, plus c, and a query whose k-th best product
+    is above that is done.
+    """
+    if not len(queries) or not len(items) or k <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), 0
+    lengths, reach = np.linalg.norm(items[:, :-2], axis=1), np.linalg.norm(queries[:, :-2], axis=1)
+    order = np.argsort(-(lengths * reach.mean() + items[:, -2]), kind="stable")
+    strips = [np.sort(order[i : i + strip]) for i in range(0, len(order), strip)]
+    left = lambda values: np.maximum.accumulate([values[s].max() for s in reversed(strips)])[::-1]
+    longest, largest = left(lengths), left(items[:, -2])
+    if masked is not None:
+        strip_of, column = np.empty(len(items), np.int64), np.empty(len(items), np.int64)
+        for i, s in enumerate(strips):
+            strip_of[s], column[s] = i, np.arange(len(s))
+        by_row = np.argsort(masked[0], kind="stable")
+        mask_rows, mask_cols = masked[0][by_row], masked[1][by_row]
+    height = max(1, TILE_CELLS // min(strip, len(items)))
+    slack = 2 * 10**-SCORE_DIGITS
+    found, skipped = [], 0
+    for start in range(0, len(queries), height):
+        tile = np.arange(start, min(start + height, len(queries)))
+        best, active = np.full((len(tile), k), -np.inf), np.arange(len(tile))
+        if masked is not None:
+            lo, hi = np.searchsorted(mask_rows, [start, start + len(tile)])
+            own_rows, own_cols = mask_rows[lo:hi] - start, mask_cols[lo:hi]
+        for i, s in enumerate(strips):
+            bound = reach[tile[active]] * longest[i] + largest[i] + queries[tile[active], -1]
+            active = active[bound + slack + 1e-9 * np.abs(bound) >= best[active].min(axis=1)]
+            skipped += (len(tile) - len(active)) * len(s)
+            if not len(active):
+                skipped += len(tile) * sum(len(x) for x in strips[i + 1 :])
+                break
+            scores = queries[tile[active]] @ items[s].T
+            if masked is not None:
+                place = np.full(len(tile), -1)
+                place[active] = np.arange(len(active))
+                here = (strip_of[own_cols] == i) & (place[own_rows] >= 0)
+                scores[place[own_rows[here]], column[own_cols[here]]] = -np.inf
+            width = min(k, len(s))
+            top = np.partition(scores, len(s) - width, axis=1)[:, len(s) - width :]
+            best[active] = np.partition(np.hstack([best[active], top]), width, axis=1)[:, width:]
+            row, col = np.nonzero((scores >= best[active].min(axis=1)[:, None] - slack) & (scores > -np.inf))
+            found.append((tile[active[row]], s[col], np.round(scores[row, col], SCORE_DIGITS) + 0.0))
+    row, col, score = (np.concatenate(part) for part in zip(*found))
+    order = np.lexsort((col, -score, row))
+    row, col, score = row[order], col[order], score[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], col[keep], score[keep], skipped
+
+
 def _top_cells(scores: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     width = scores.shape[1]
     most = int(min(max(limits.max(), 0), width)) if len(limits) else 0

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.config import Config
-from cartwheel.functions.vectors import dot, zeros
+from cartwheel.functions.vectors import as_matrix, dot, zeros
 from cartwheel.operators.als import fit_als
 from cartwheel.operators.bias import BiasModel, fit_bias
+from cartwheel.operators.grid import BLOCK_ROWS, block_of
 from cartwheel.operators.ratings import training_triples
-from cartwheel.session import stored
+from cartwheel.session import shuffle_partitions, stored
 
 
 @dataclass(frozen=True)
@@ -62,6 +67,59 @@ def predict_pairs(pairs: DataFrame, model: FactorModel, how: str = "left") -> Da
     )
 
 
+def predict_in_blocks(pairs: DataFrame, model: FactorModel, how: str = "left", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """What `predict_pairs` adds, with one exchange of the pairs instead of one for each side.
+
+    Pairs go to the cell of their user's and their item's block, and meet the parameters of both blocks there. A hot item's
+    pairs are spread over the user blocks. For pairs that outweigh the parameters; each of these is sent once for each
+    block of the other side.
+    """
+    spark = pairs.sparkSession
+    parts = shuffle_partitions(spark)
+    n_users, n_items = (side.count() for side in (model.users, model.items))
+    item_blocks = max(1, -(-n_items // block_rows))
+    user_blocks = max(-(-n_users // block_rows), -(-parts // item_blocks))
+    cell = lambda user, item: (user * F.lit(item_blocks) + item).cast("int").alias("_cell")
+    placed = pairs.select("*", cell(block_of(F.col("user_id"), user_blocks), block_of(F.col("item_id"), item_blocks)))
+
+    def sent(side: DataFrame, key: str, kind: str) -> DataFrame:
+        own = block_of(F.col(key), user_blocks if kind == "u" else item_blocks)
+        others = F.explode(F.sequence(F.lit(0), F.lit((item_blocks if kind == "u" else user_blocks) - 1))).alias("_other")
+        rows = side.select(F.col(key).cast("string").alias("id"), F.concat("features", F.array("bias")).alias("w"), own.alias("_own"), others)
+        at = cell(F.col("_own"), F.col("_other")) if kind == "u" else cell(F.col("_other"), F.col("_own"))
+        return rows.select(F.lit(kind).alias("kind"), "id", "w", at)
+
+    parameters = sent(model.users, "user_id", "u").unionByName(sent(model.items, "item_id", "i"))
+    mu = model.mean.first()
+    schema = T.StructType([*pairs.schema.fields, T.StructField("prediction", T.DoubleType())])
+    return (
+        placed.repartition(parts, "_cell")
+        .groupBy("_cell")
+        .cogroup(parameters.repartition(parts, "_cell").groupBy("_cell"))
+        .applyInArrow(_cell_predictor((mu and mu["mu"]) or 0.0, model.n_factors, how, pairs.columns), schema)
+    )
+
+
+def _cell_predictor(mu: float, n_factors: int, how: str, columns: list[str]):
+    def predict(pairs: pa.Table, parameters: pa.Table) -> pa.Table:
+        both = []
+        for kind, key in (("u", "user_id"), ("i", "item_id")):
+            own = parameters.filter(pc.equal(parameters["kind"], kind))
+            names = pairs[key].cast(pa.string())
+            place = pc.index_in(names, value_set=own["id"].combine_chunks()) if len(own) else pa.nulls(len(pairs), pa.int32())
+            # One row of zeros behind the others stands for what is not known.
+            rows = np.vstack([as_matrix(own["w"]).reshape(-1, n_factors + 1), np.zeros((1, n_factors + 1))])
+            both.append(rows[pc.fill_null(place, len(own)).to_numpy()] if len(pairs) else rows[:0])
+            if how == "inner":
+                known = pc.is_valid(place)
+                pairs, both = pairs.filter(known), [x[known.to_numpy()] for x in both]
+        p, q = both
+        score = mu + p[:, -1] + q[:, -1] + np.einsum("nd,nd->n", p[:, :-1], q[:, :-1])
+        return pairs.select(columns).append_column("prediction", pa.array(score, pa.float64()))
+
+    return predict
+
+
 def _decoded(factors: DataFrame, index: DataFrame, key: str, position: str) -> DataFrame:
     decoded = factors.withColumnRenamed("id", position).join(index, position)
     return decoded.select(key, F.col("features").cast("array<double>").alias("features"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cartwheel.functions.vectors import hyperplanes
 from cartwheel.operators import grid
-from cartwheel.plans.queries import SAMPLE, SEED
+from cartwheel.plans.queries import SAMPLE, SEED, WINDOWS
 from cartwheel.plans.tables import BASKET_K, HISTORY, LAST_YEAR, TOP_K, VECTOR_SCALE
 
 N_FACTORS = HISTORY.n_factors
@@ -531,6 +531,11 @@ ORACLE: dict[str, str] = {
         )
         for side in ("train", "test")
     },
+    "ratings_moved_window": sql(
+        "interactions_year",
+        f"""SELECT network_userid AS user_id, item_id, round(avg(item_quantity), 6) AS rating FROM interactions_year
+ WHERE date_partition BETWEEN '{WINDOWS[-1][0]}' AND '{WINDOWS[-1][1]}' GROUP BY network_userid, item_id""",
+    ),
     "frequency_index": sql(
         "purchases",
         """SELECT CAST(item_id AS VARCHAR) AS item_id, count(*) AS frequency,
@@ -700,4 +705,5 @@ ORACLE["evaluation_saved"] = (
     f"SELECT e.*, '{LAST_YEAR.end_date}' AS eval_date, CAST(1.5 AS DOUBLE) AS training_rmse FROM ({ORACLE['evaluation_summary']}) e"
 )
 ORACLE["served_champion"] = ORACLE["request_recommendations"]
+ORACLE["predict_blocks_test"] = ORACLE["predict_pairs_test"]
 ORACLE["stream_follows_champion"] = f"SELECT * FROM ({ORACLE['request_recommendations']}) r WHERE basket_id % 2 = 1"

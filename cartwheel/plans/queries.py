@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import Columns, Config
 from cartwheel.functions.vectors import SCORE_DIGITS
-from cartwheel.operators import evaluate, extract, factors, index, itemsets, metrics, popularity, profile, runs, split
+from cartwheel.operators import evaluate, extract, factors, index, itemsets, metrics, popularity, profile, runs, split, window
 from cartwheel.operators.factors import predict_pairs
 from cartwheel.operators.gradient import fit_gradient
 from cartwheel.operators.lsh import neighbors
@@ -40,6 +40,7 @@ QUERIES: dict[str, Query] = {}
 
 SEED = 42
 SAMPLE = 500
+WINDOWS = (("2001_05_01", "2001_05_31"), ("2001_05_16", "2001_06_15"), ("2001_06_01", "2001_06_30"))
 
 
 def learning(config: Config) -> dict[str, float]:
@@ -166,6 +167,18 @@ def ratings_test(job: Job) -> DataFrame:
     return rounded(training_triples(job.test, *job.indexes), "rating")
 
 
+@query
+def ratings_moved_window(job: Job) -> DataFrame:
+    """Ratings of a month of the last year, reached by moving the window of the month before in two steps."""
+    path = shared_path(job.spark, "interactions")
+    write_partitions(extract.interactions(job.purchases, LAST_YEAR), path)
+    held = None
+    for first, last in WINDOWS:
+        days = window.days_between(job.spark, path, first, last)
+        held = window.move(job.spark, path, held, days) if held else window.open_window(job.spark, path, days)
+    return rounded(window.ratings(held), "rating")
+
+
 @query
 def frequency_index(job: Job) -> DataFrame:
     return index.frequency_index(job.purchases, "item_id", "item_idx")
@@ -197,6 +210,12 @@ def predict_pairs_test(job: Job) -> DataFrame:
     return rounded(predict_pairs(job.test, job.model), "rating", "prediction")
 
 
+@query
+def predict_blocks_test(job: Job) -> DataFrame:
+    """The same predictions where blocks of pairs meet blocks of parameters."""
+    return rounded(factors.predict_in_blocks(job.test, job.model), "rating", "prediction")
+
+
 @query
 def rmse_test(job: Job) -> DataFrame:
     return rounded(evaluate.heldout_rmse(job.model, job.test), "rmse")

@@ -1,5 +1,8 @@
 import json
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -11,7 +14,8 @@ from cartwheel.functions.vectors import EPSILON, hyperplanes
 from cartwheel.operators.factors import FactorModel
 from cartwheel.operators.popularity import most_popular, popular_outside, ranked_popularity
 from cartwheel.operators.recommend import Recommender, recommend_baskets, request_error, responses, similar_items
-from cartwheel.sources.artifacts import load_model, load_recommender, save_model
+from cartwheel.sources import artifacts
+from cartwheel.sources.artifacts import champion, follow_champion, load_model, load_recommender, promote, save_model
 from cartwheel.streaming.requests import parse_requests, read_requests, serve
 
 N, D = 80, 4
@@ -176,6 +180,52 @@ def test_saved_model_serves_a_stream_like_a_batch(spark, model, arrays, tmp_path
     assert spark.read.parquet(str(tmp_path / "out/recommendations")).count() == answers.count()
 
 
+def test_a_stream_follows_the_champion(spark, model, arrays, tmp_path):
+    """A model that is promoted between two batches answers the second one only."""
+    latest, asked, out = (str(tmp_path / x) for x in ("latest", "asked", "out"))
+    other = replace(model, items=model.items.withColumn("features", F.reverse("features")))
+    current = follow_champion(spark, latest, CONFIG)
+    with pytest.raises(FileNotFoundError):
+        current()
+    batches = {}
+    for part, (used, error) in enumerate(((other, 2.0), (model, 1.0))):
+        promote(spark, used, error, latest, only_better=True)
+        rows = requests_of(spark, BASKETS).where(F.col("basket_id") % 2 == part).coalesce(1)
+        rows.write.mode("append").parquet(asked)
+        stream = read_requests(spark, asked, model.items.schema["item_id"].dataType)
+        serve(stream, current, out, str(tmp_path / "progress")).awaitTermination()
+        batches[part] = recommend_baskets(rows, Recommender.from_items(used.items, D, CONFIG)).drop("request")
+    answers = spark.read.parquet(f"{out}/recommendations")
+    for part, wanted in batches.items():
+        given = answers.where(F.col("batch") == part).select(wanted.columns)
+        assert wanted.exceptAll(given).isEmpty() and given.exceptAll(wanted).isEmpty() and not given.isEmpty()
+    assert current() is current()
+
+
+def test_of_two_promotions_at_once_the_better_stays(spark, model, tmp_path, monkeypatch):
+    latest, both, read = str(tmp_path / "latest"), threading.Barrier(2), artifacts.served
+    promote(spark, model, 3.0, latest)
+    first = threading.local()
+
+    def served_together(*args):
+        row = read(*args)
+        if not getattr(first, "done", False):
+            first.done = True
+            both.wait(60)  # both have seen the model before
+        return row
+
+    monkeypatch.setattr(artifacts, "served", served_together)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda error: promote(spark, model, error, latest, only_better=True), (2.0, 1.0)))
+    monkeypatch.undo()
+    assert champion(spark, latest)[1] == 1.0
+    numbers = sorted(x.name for x in (tmp_path / "latest/served").glob("*.json"))
+    assert numbers == [f"{i:012d}.json" for i in range(len(numbers))] and 2 <= len(numbers) <= 3
+    assert promote(spark, model, 1.0, latest, only_better=True) is None  # equal is not better
+    assert not artifacts.create_new(spark, f"{latest}/served/{numbers[0]}", "{}")
+    assert not list((tmp_path / "latest/served").glob("_*"))
+
+
 def test_requests_that_share_an_id_are_answered_one_by_one(spark, recommender, arrays, model, tmp_path):
     rows = [(1, [1, 2], 2), (1, [3], 4), (1, [1, 2], 2), (2, [5], 1)]
     asked = spark.createDataFrame(rows, "basket_id long, basket array<long>, top_k int").coalesce(1)

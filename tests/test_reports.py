@@ -1,3 +1,8 @@
+import itertools
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -62,3 +67,27 @@ def test_itemsets_and_rules(spark):
     assert largest_itemsets(model, 1).first()["items"] == ["a", "b"]
     rules = {("".join(r.antecedent), r.consequent): r.confidence for r in association_rules(model).collect()}
     assert rules == {("a", "b"): 1.0, ("b", "a"): 1.0}
+
+
+def test_itemsets_match_all_subsets(spark):
+    rng = random.Random(2)
+    baskets = [sorted(rng.sample(range(9), rng.randint(1, 6))) for _ in range(120)] + [[1, 2, 3, 4, 5, 6, 7, 8]] * 5
+    frame = spark.createDataFrame([(i, b) for i, b in enumerate(baskets)], "order_id long, items array<int>")
+    mined = mine(frame, 0.06, 0.3)
+    counts = Counter(s for b in baskets for k in range(1, len(b) + 1) for s in itertools.combinations(b, k))
+    frequent = {s: n for s, n in counts.items() if n >= math.ceil(0.06 * len(baskets))}
+    assert {tuple(r["items"]): r.freq for r in frequent_itemsets(mined).collect()} == frequent
+    rules = {
+        (s[:i] + s[i + 1 :], x): n / frequent[s[:i] + s[i + 1 :]]
+        for s, n in frequent.items() if len(s) > 1
+        for i, x in enumerate(s) if n / frequent[s[:i] + s[i + 1 :]] >= 0.3
+    }
+    found = {(tuple(r.antecedent), r.consequent): (r.confidence, r.lift, r.support) for r in association_rules(mined).collect()}
+    assert {k: v[0] for k, v in found.items()} == pytest.approx(rules)
+    for (_, x), (confidence, lift, _) in found.items():
+        assert lift == pytest.approx(confidence / (frequent[x,] / len(baskets)))
+
+
+def test_itemsets_of_empty_baskets(spark):
+    frame = spark.createDataFrame([], "order_id long, items array<int>")
+    assert frequent_itemsets(mine(frame)).count() == association_rules(mine(frame)).count() == 0

@@ -2,10 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.functions.vectors import top_products
+from cartwheel.functions.vectors import top_bounded_products, top_products
 from cartwheel.operators import score
 from cartwheel.operators.evaluate import evaluate, heldout_rmse
-from cartwheel.operators.factors import FactorModel, predict_pairs, without_biases
+from cartwheel.operators.factors import FactorModel, predict_in_blocks, predict_pairs, without_biases
 from cartwheel.operators.score import top_items
 
 D, USERS, ITEMS, MU = 4, 40, 60, 2.5
@@ -114,3 +114,56 @@ def test_kernel_limits_and_mask():
     row, col, _ = top_products(queries, items, np.array([2, 0, 1]), (np.array([0, 2]), np.array([1, 0])))
     assert sorted(zip(row.tolist(), col.tolist())) == [(0, 2), (0, 3), (2, 1)]
     assert len(top_products(np.empty((0, 1)), items, np.empty(0, np.int64))[0]) == 0
+
+
+@pytest.mark.parametrize("strip", [1, 7, 64, 5_000])
+@pytest.mark.parametrize("k", [1, 9, 200])
+def test_bounded_products_equal_all_products(strip, k):
+    rng = np.random.default_rng(strip + k)
+    p, q = rng.normal(size=(50, 3)), rng.normal(size=(300, 3)) * rng.exponential(size=(300, 1))
+    q[20:60] = q[0]  # ties
+    bias = np.where(np.arange(300) < 60, 0.5, rng.normal(size=300))
+    queries = np.hstack([p, np.ones((50, 1)), rng.normal(size=(50, 1))])
+    items = np.hstack([q, bias[:, None], np.ones((300, 1))])
+    cells = rng.choice(50 * 300, 2_000, replace=False)
+    for masked in (None, (cells // 300, cells % 300), (np.repeat(3, 300), np.arange(300))):
+        row, col, score, skipped = top_bounded_products(queries, items, k, masked, strip)
+        wanted = top_products(queries, items, np.full(50, k), masked)
+        order = np.lexsort((col, -score, row)), np.lexsort((wanted[1], -wanted[2], wanted[0]))
+        for mine, theirs in zip((row, col, score), wanted):
+            assert mine[order[0]].tolist() == theirs[order[1]].tolist()
+        assert 0 <= skipped < 50 * 300
+        if k == 1 and strip < 64:
+            assert skipped > 50 * 300 / 4
+
+
+def test_skipped_pairs_are_counted(spark):
+    rng = np.random.default_rng(1)
+    frame = lambda key, n, scale: spark.createDataFrame(
+        [(i, [float(x) for x in rng.normal(size=D) * scale(i)], 0.0) for i in range(n)], f"{key} long, features array<double>, bias double"
+    )
+    lengths = FactorModel(
+        spark.createDataFrame([(0.0,)], "mu double"), frame("user_id", 30, lambda i: 1), frame("item_id", 9_000, lambda i: 1 / (1 + i)), D
+    )
+    counter = spark.sparkContext.accumulator(0)
+    assert top_items(lengths, lengths.users, 3, skipped=counter).count() == 90
+    assert counter.value > 30 * 9_000 / 2
+
+
+@pytest.mark.parametrize("block_rows", [6, 250_000])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_pairs_in_blocks_equal_joined_pairs(spark, model, block_rows, how):
+    rows = [(f"u{u:03d}", f"i{i:03d}", float(u), "x") for u in range(0, USERS + 3, 2) for i in range(0, ITEMS + 4, 3)]
+    rows += [(None, "i001", 1.0, None), ("u001", None, 2.0, "y"), ("u001", "i001", 3.0, "z"), ("u001", "i001", 3.0, "z")]
+    pairs = spark.createDataFrame(rows, "user_id string, item_id string, rating double, kind string")
+    wanted = predict_pairs(pairs, model, how)
+    found = predict_in_blocks(pairs, model, how, block_rows)
+    listed = lambda f: sorted((str(r.user_id), str(r.item_id), r.rating, str(r.kind), round(r.prediction, 9)) for r in f.select(*pairs.columns, "prediction").collect())
+    assert listed(found) == listed(wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_cell") == 2  # the pairs once, the parameters once
+
+
+def test_no_pairs_in_blocks(spark, model):
+    empty = spark.createDataFrame([], "user_id string, item_id string, rating double")
+    assert predict_in_blocks(empty, model).count() == 0
