@@ -144,10 +144,19 @@ def top_bounded_products(
                 place[active] = np.arange(len(active))
                 here = (strip_of[own_cols] == i) & (place[own_rows] >= 0)
                 scores[place[own_rows[here]], column[own_cols[here]]] = -np.inf
-            width = min(k, len(s))
-            top = np.partition(scores, len(s) - width, axis=1)[:, len(s) - width :]
-            best[active] = np.partition(np.hstack([best[active], top]), width, axis=1)[:, width:]
-            row, col = np.nonzero((scores >= best[active].min(axis=1)[:, None] - slack) & (scores > -np.inf))
+            worst = best[active].min(axis=1)
+            if i == 0:
+                width = min(k, len(s))
+                best[active, :width] = np.partition(scores, len(s) - width, axis=1)[:, len(s) - width :]
+                worst = best[active].min(axis=1)
+            row, col = np.nonzero((scores >= worst[:, None] - slack) & (scores > -np.inf))
+            if i and len(row):
+                # Only what beats a k-th score can move it: few cells, next to each other for each query.
+                changed, first, counts = np.unique(row, return_index=True, return_counts=True)
+                new = np.full((len(changed), counts.max()), -np.inf)
+                new[np.repeat(np.arange(len(changed)), counts), np.arange(len(row)) - np.repeat(first, counts)] = scores[row, col]
+                both = np.hstack([best[active[changed]], new])
+                best[active[changed]] = np.partition(both, both.shape[1] - k, axis=1)[:, both.shape[1] - k :]
             found.append((tile[active[row]], s[col], np.round(scores[row, col], SCORE_DIGITS) + 0.0))
     row, col, score = (np.concatenate(part) for part in zip(*found))
     order = np.lexsort((col, -score, row))
