@@ -45,16 +45,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset, one in the session's warehouse.
+    """The folder named in spark.checkpoint.dir; a local session that names none uses one in its warehouse.
 
-    The warehouse is shared by all executors of a cluster. A plain local session without either writes
-    below its working directory.
+    On any other master it must be named, since nothing else is known to be shared by all executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cartwheel-work"
-        if not re.match(r"[a-z0-9]+://|file:|/", folder) and not re.fullmatch(r"local(\[[^,]*\])?", spark.sparkContext.master):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/cartwheel-work"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
