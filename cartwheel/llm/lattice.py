@@ -7,13 +7,15 @@ space goes before every text that is not empty.
 Two neighbouring bytes that no piece contains can never share a piece, so text is cut there: the pre-tokens
 are independent, and the best segmentation of a text is that of each of its pre-tokens. The distinct ones
 of a block form a trie, level by level; a forward score depends on the prefix alone and is computed once
-for every node.
+for every node. Where only a FEW long spans are left, each is walked byte by byte instead, in the order of
+their bytes, so that a span still shares the nodes of the one before it.
 """
 
 from __future__ import annotations
 
-import heapq
 import itertools
+from array import array
+from bisect import insort
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -23,6 +25,8 @@ from cartwheel.llm.blocks import Block, Hasher, hash_bytes
 
 MARK = "▁"
 BYTE_SCORE = -25.0
+FEW = 64  # spans that are walked one by one: a level of the trie costs as much as about 200 bytes of a walk
+REMEMBERED = 10_000
 
 
 class Vocabulary:
@@ -82,6 +86,44 @@ class Vocabulary:
                 scores[byte], ids[byte] = self.scores[number], self.ids[number]
         return scores, ids
 
+    @cached_property
+    def by_end(self) -> dict[int, tuple[int, ...]]:
+        """Lengths of the pieces of several bytes by their last two bytes, ascending."""
+        found: dict[int, set[int]] = {}
+        for piece in self.pieces:
+            if len(piece) > 1:
+                found.setdefault(piece[-2] << 8 | piece[-1], set()).add(len(piece))
+        return {end: tuple(sorted(sizes)) for end, sizes in found.items()}
+
+    @cached_property
+    def listed(self) -> tuple[list[float], list[int], list[float], list[int]]:
+        """Scores and ids of all pieces and of all single bytes as plain numbers."""
+        single_scores, single_ids = self.singles
+        return self.scores.tolist(), self.ids.tolist(), single_scores.tolist(), single_ids.tolist()
+
+    @cached_property
+    def remembered(self) -> dict[bytes, list[tuple[int, float, int]]]:
+        """Arcs by the bytes they depend on, for a bounded number of these: runs ask for the same again and again."""
+        return {}
+
+    def arcs(self, text: bytes, end: int) -> list[tuple[int, float, int]]:
+        """Length, score and id of every arc that ends there, the shortest first."""
+        scores, ids, single_scores, single_ids = self.listed
+        last = text[end - 1]
+        sizes = self.by_end.get(text[end - 2] << 8 | last, ()) if end > 1 else ()
+        key = text[max(0, end - sizes[-1]) : end] if sizes else text[end - 1 : end]
+        own = self.remembered.get(key)
+        if own is None:
+            own = [(1, single_scores[last], single_ids[last])]
+            for size in sizes:
+                number = self.by_bytes.get(key[-size:]) if size <= len(key) else None
+                if number is not None:
+                    own.append((size, scores[number], ids[number]))
+            if len(self.remembered) >= REMEMBERED:
+                self.remembered.clear()
+            self.remembered[key] = own
+        return own
+
     def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are pieces, as positions, and the pieces' numbers."""
         keys, order, bits = self.by_hash
@@ -172,6 +214,10 @@ def trie_scores(
     first_node = [0]
     for depth in range(1, deepest + 1):
         active = int(np.searchsorted(-sizes, -depth, "right"))
+        if depth > 1 and active <= FEW:
+            terminal[:active], rest = walked(data, starts[:active], sizes[:active], depth - 1, recent, first_node, offset, vocabulary)
+            levels.append(rest)
+            break
         begin = starts[:active]
         if depth == 1:
             _, lead, node = np.unique(data[begin], return_index=True, return_inverse=True)
@@ -218,17 +264,83 @@ def trie_scores(
     return unsorted, Forward(*map(join, ("score", "pieces", "back", "token", "slack")))
 
 
+def walked(
+    data: np.ndarray,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    done: int,
+    recent: list[tuple[np.ndarray, Forward]],
+    first_node: list[int],
+    offset: int,
+    vocabulary: Vocabulary,
+) -> tuple[np.ndarray, Forward]:
+    """Carry the forward pass on from depth `done` to the ends of the spans, one span after the other.
+
+    Gives the terminal node of every span and the new nodes, which are numbered from `offset` on. In the order of their
+    bytes, a span shares most of its prefix with the one before, whose nodes on this stretch are kept.
+    """
+    texts = [data[a : a + n].tobytes() for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+    terminal = np.zeros(len(texts), np.int64)
+    made = Forward(array("d"), array("q"), array("q"), array("i"), array("d"))
+    # Of the nodes on the present path, from the first that a piece can still begin at.
+    first = done + 1 - len(recent)
+    node, score, pieces, slack = array("q"), array("d"), array("q"), array("d")
+    before = b""
+    for number in sorted(range(len(texts)), key=texts.__getitem__):
+        text = texts[number]
+        shared = common(before, text)
+        if shared <= done:
+            shared = done
+            own = [(int(nodes[number]), level, base) for (nodes, level), base in zip(recent, first_node, strict=True)]
+            node = array("q", [n for n, _, _ in own])
+            score = array("d", [level.score[n - base] for n, level, base in own])
+            pieces = array("q", [level.pieces[n - base] for n, level, base in own])
+            slack = array("d", [level.slack[n - base] for n, level, base in own])
+        for column in (node, score, pieces, slack):
+            del column[shared + 1 - first :]
+        for end in range(shared + 1, len(text) + 1):
+            best, second, source, token = -np.inf, -np.inf, 0, 0
+            for size, gain, own_id in vocabulary.arcs(text, end):
+                value = score[-size] + gain
+                if value > best:
+                    best, second, source, token = value, best, len(score) - size, own_id
+                elif value > second:
+                    second = value
+            loss = min(slack[source], best - second)
+            made.back.append(node[source])
+            made.token.append(token)
+            node.append(offset + len(made.back) - 1)
+            for column, of_node, value in ((score, made.score, best), (pieces, made.pieces, pieces[source] + 1), (slack, made.slack, loss)):
+                column.append(value)
+                of_node.append(value)
+        terminal[number] = node[-1]
+        before = text
+    return terminal, Forward(*(np.array(getattr(made, name)) for name in ("score", "pieces", "back", "token", "slack")))
+
+
+def common(a: bytes, b: bytes) -> int:
+    """How many bytes both begin with."""
+    size = min(len(a), len(b))
+    unlike = np.frombuffer(a, np.uint8, size) != np.frombuffer(b, np.uint8, size) if size else np.zeros(0, bool)
+    return int(unlike.argmax()) if unlike.any() else size
+
+
 def best_ids(found: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the best path of every distinct pre-token, one after the other, and where each begins."""
     forward, node = found.forward, found.terminal.copy()
     bounds = np.concatenate([[0], np.cumsum(forward.pieces[node])])
     ids, place = np.zeros(bounds[-1], np.int32), bounds[1:] - 1
     going = np.flatnonzero(node)
-    while len(going):
+    while len(going) > FEW:
         ids[place[going]] = forward.token[node[going]]
         place[going] -= 1
         node[going] = forward.back[node[going]]
         going = going[node[going] > 0]
+    for own in going.tolist():
+        at, put = int(node[own]), int(place[own])
+        while at:
+            ids[put] = forward.token[at]
+            at, put = int(forward.back[at]), put - 1
     return ids, bounds
 
 
@@ -246,23 +358,17 @@ def best_paths(text: bytes, vocabulary: Vocabulary, n: int) -> list[tuple[float,
     Forward Viterbi scores are the exact rest of every path from the end, so that a backward A-star
     search completes paths in the order of their scores. Scores equal to six digits are ties, of which the
     path nearest to its end goes first: a long run of one letter has countless ways of the same score.
+    Unfinished paths have different ends, and the score of each is that of its best completion, so only as
+    many as are still to be found need to be kept open.
     """
-    scores, ids = vocabulary.singles
-    arcs: list[list[tuple[int, float, int]]] = [[]]
-    forward = [0.0]
+    forward = array("d", [0.0])
     for end in range(1, len(text) + 1):
-        own = [(end - 1, float(scores[text[end - 1]]), int(ids[text[end - 1]]))]
-        for begin in range(end - 2, max(-1, end - vocabulary.longest - 1), -1):
-            number = vocabulary.by_bytes.get(text[begin:end])
-            if number is not None:
-                own.append((begin, float(vocabulary.scores[number]), int(vocabulary.ids[number])))
-        arcs.append(own)
-        forward.append(max(forward[begin] + gain for begin, gain, _ in own))
+        forward.append(max(forward[end - size] + gain for size, gain, _ in vocabulary.arcs(text, end)))
     tick = itertools.count()
-    heap = [(-round(forward[-1], 6), len(text), next(tick), 0.0, None)]
+    open_paths: list[tuple] = [(-round(forward[-1], 6), len(text), next(tick), 0.0, None)]
     found = []
-    while heap and len(found) < n:
-        _, place, _, gone, path = heapq.heappop(heap)
+    while open_paths and len(found) < n:
+        _, place, _, gone, path = open_paths.pop(0)
         if not place:
             out = []
             while path:
@@ -270,7 +376,8 @@ def best_paths(text: bytes, vocabulary: Vocabulary, n: int) -> list[tuple[float,
                 path = path[1]
             found.append((gone, tuple(out)))
             continue
-        for begin, gain, token in arcs[place]:
-            rest = -round(forward[begin] + gain + gone, 6)
-            heapq.heappush(heap, (rest, begin, next(tick), gone + gain, (token, path)))
+        for size, gain, token in vocabulary.arcs(text, place):
+            rest = -round(forward[place - size] + gain + gone, 6)
+            insort(open_paths, (rest, place - size, next(tick), gone + gain, (token, path)))
+        del open_paths[n - len(found) :]
     return found

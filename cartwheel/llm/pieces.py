@@ -25,6 +25,7 @@ from cartwheel.llm.lattice import Tokens, Vocabulary, best_ids, best_paths, spre
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N = 4
 KEPT = 20_000  # searched pre-tokens that a task remembers
+KEPT_BYTES = 200  # of the longest of these
 
 WAYS = "array<struct<score: double, edits: array<struct<at: int, drop: int, ids: array<int>>>>>"
 EDIT_TYPE = pa.struct([("at", pa.int32()), ("drop", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -63,9 +64,11 @@ def other_ways(
             spelled = found.spelled(int(found.kind[hit]))
             paths = known.get(spelled)
             if paths is None:
-                if len(known) >= KEPT:
-                    known.clear()
-                paths = known[spelled] = best_paths(spelled, vocabulary, n)
+                paths = best_paths(spelled, vocabulary, n)
+                if len(spelled) <= KEPT_BYTES:
+                    if len(known) >= KEPT:
+                        known.clear()
+                    known[spelled] = paths
             at, drop = int(token_at[hit] - token_at[found.at[text]]), int(counts[hit])
             choices = [(0.0, [])]
             choices += [(paths[0][0] - score, [{"at": at, "drop": drop, "ids": list(ids)}]) for score, ids in paths[1:]]

@@ -115,6 +115,38 @@ def test_trie_scores_equal_those_of_single_words(model):
             assert math.isinf(found.forward.slack[terminal])
 
 
+@pytest.mark.parametrize("name", ["small", "model"])
+def test_walks_equal_levels(request, name, monkeypatch):
+    vocabulary, rng = request.getfixturevalue(name), random.Random(9)
+    words = ["a" * 70, "a" * 71, "ab" * 40, "ab" * 40 + "c", "=" * 90, " " * 33, "the" * 30, "abcab", "é" * 20]
+    words += ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 60))) for _ in range(200)]
+    data = np.frombuffer("\n".join(words).encode(), np.uint8)
+    block = Block(None, data, np.array([0, len(data)]))
+    found = []
+    for few in (0, 3, 10**6):
+        monkeypatch.setattr(lattice, "FEW", few)
+        own = lattice.tokens(block, vocabulary)
+        forward = own.forward
+        ids, bounds = lattice.best_ids(own)
+        found.append([forward.score[own.terminal], forward.pieces[own.terminal], forward.slack[own.terminal], ids, bounds])
+        # A trie has one node for each distinct prefix, however it was built.
+        found[-1].append(np.array([len(forward.score)]))
+    for other in found[1:]:
+        assert all(np.array_equal(a, b) for a, b in zip(found[0], other, strict=True))
+
+
+def test_long_runs(spark, model):
+    texts = [c * 200_000 for c in "a =.-é"] + ["ab" * 100_000, "x" + "\t" * 200_000]
+    frame = table(spark, texts)
+    found = rows_of(pieces.decode(pieces.encode(frame, model), model))
+    counted = rows_of(pieces.count(frame, model))
+    for i, text in enumerate(texts):
+        assert found[i]["decoded"] == text
+        assert counted[i]["n_tokens"] == len(found[i]["ids"])
+        scores = [found[i]["score"], *(w["score"] for w in found[i]["nbest"])]
+        assert all(a >= b - 1e-5 for a, b in zip(scores, scores[1:]))
+
+
 def test_decode_of_odd_ids(spark, model):
     frame = spark.createDataFrame([(1, [0, 1, 2, 10**6, -5]), (2, [3 + 0xC3]), (3, None), (4, [])], "doc_id long, ids array<int>")
     found = rows_of(pieces.decode(frame, model))
