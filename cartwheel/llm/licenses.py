@@ -1,14 +1,18 @@
 """License scans with a positional index of rare tokens.
 
-The templates are phrases of licence notices. A word's postings name the templates it stands in and its
-place there; a template is looked up by its ANCHORS words of highest inverse document frequency, counted
-over all documents. Every such word in a file votes for the place where the template would begin;
-where enough votes meet, the words there are compared with the template, and its mandatory key phrase
-has to stand at its place. A phrase whose key is all of it is found at every place where it stands.
+The templates are phrases of licence notices, each with a mandatory key phrase. A word's postings name the
+templates whose key it stands in, and its place there. A file looks up its own rarest licence words: of
+every few words in a row that all stand in keys (as many as the shortest key has) the one of highest
+inverse document frequency, counted over all documents. So every place of a key has a word that is looked
+up. Postings of the words looked up are intersected by relative position, each candidate coming from the first such
+word in its span; then the key has to stand there whole, and enough of its template's weight around
+it. Templates that share no rare word with a file cost nothing there. A phrase whose key is all of it is found
+at every place where it stands.
 
 Words are runs of letters, digits and bytes outside ASCII, A-Z in lower case, and are compared by a
 64-bit hash. Edge cases: a null text counts as empty and has no words; a table without documents gives
-the same frequency to every word. Ties among equally rare words go to the earlier word of the template.
+the same frequency to every word. Ties among equally rare words go to the earlier word of the file. A key that
+stands in its template more than once is placed where it stands first. Overlapping places are all reported.
 """
 
 from __future__ import annotations
@@ -23,8 +27,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.blocks import LOWER, WORD, Block, Hasher, arrow_batches, blocks, hash_bytes, runs, with_fields
 
-ANCHORS = 3
-LONG = 8
+CANDIDATES = 1 << 18  # postings that are intersected at once
 COVERAGE = 0.6
 
 PLACE = "struct<label: string, template: int, word: bigint, coverage: double, base: boolean>"
@@ -72,7 +75,7 @@ TEMPLATES = [*BASE, *NOTICES]
 
 
 class Index:
-    """Templates as numbers of words, with the words to look them up by."""
+    """Templates as numbers of words, and the postings of the words in their keys."""
 
     def __init__(self, templates: list[Template], texts: int, frequency: dict[str, int]):
         self.templates = templates
@@ -81,43 +84,104 @@ class Index:
         hashes = hash_bytes([w.encode() for w in self.vocabulary])
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
-        self.idf = np.array([np.log((texts + 1) / (frequency.get(w, 0) + 1)) + 1 for w in self.vocabulary])
-        self.words = [np.array([number[w] for w in t.words]) for t in templates]
-        self.anchors, self.keys = [], []
-        for template, own in zip(templates, self.words, strict=True):
-            rare = np.argsort(-self.idf[own], kind="stable")[:ANCHORS]
-            self.anchors.append(rare if len(own) >= LONG else rare[:1])
-            key = template.key.split()
-            at = next(i for i in range(len(own)) if template.words[i : i + len(key)] == key)
-            self.keys.append((at, at + len(key)))
-        self.looked_up = np.zeros(len(self.vocabulary) + 1, bool)
-        for own, rare in zip(self.words, self.anchors, strict=True):
-            self.looked_up[own[rare]] = True
+        # The last entry is that of words in no template, whose number is -1.
+        self.idf = np.array([*(np.log((texts + 1) / (frequency.get(w, 0) + 1)) + 1 for w in self.vocabulary), 0.0])
+        words = [[number[w] for w in t.words] for t in templates]
+        keys = [[number[w] for w in t.key.split()] for t in templates]
+        self.lead = np.array([next(i for i in range(len(w)) if w[i : i + len(k)] == k) for w, k in zip(words, keys, strict=True)], np.int64)
+        self.words, self.first, self.size = flattened(words)
+        self.keys, self.key_first, self.key_size = flattened(keys)
+        self.window = int(self.key_size.min(initial=1 << 20))
+        # Postings: of every word the templates and places of the keys, one word after the other.
+        by_word = np.argsort(self.keys, kind="stable")
+        self.template = np.repeat(np.arange(len(keys)), self.key_size)[by_word]
+        self.place = by_word - self.key_first[self.template]
+        self.many = np.append(np.bincount(self.keys, minlength=len(self.vocabulary)), 0)
+        self.begin = np.cumsum(self.many) - self.many
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word in the vocabulary, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.order[at], -1)
 
-    def places(self, word: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Template, first words and coverages of all places, given number and text of every word."""
-        rare = np.flatnonzero(self.looked_up[word])
-        for number, (own, anchors, (a, b)) in enumerate(zip(self.words, self.anchors, self.keys, strict=True)):
-            votes = [rare[word[rare] == own[i]] - i for i in anchors]
-            starts, count = np.unique(np.concatenate(votes), return_counts=True)
-            starts = starts[count >= min(2, len(anchors))]
-            if not len(starts):
-                continue
-            at = starts[:, None] + np.arange(len(own))
-            inside = (at >= 0) & (at < len(word))
-            at = np.where(inside, at, 0)
-            # The key lies in the text of its first word; words of other texts never count.
-            home = text[at[:, a]]
-            equal = inside & (word[at] == own) & (text[at] == home[:, None])
-            coverage = (equal * self.idf[own]).sum(1) / self.idf[own].sum()
-            good = equal[:, a:b].all(1) & (coverage >= COVERAGE)
-            if good.any():
-                yield number, starts[good] + a, coverage[good]
+    def looked_up(self, word: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Places of the rarest word in every stretch of words that could be a key, ascending."""
+        last = len(word) - self.window + 1
+        if last < 1:
+            return np.zeros(0, np.int64)
+        posted = self.many[word] > 0
+        whole = text[:last] == text[self.window - 1 :]
+        for i in range(self.window):
+            whole &= posted[i : i + last]
+        start = np.flatnonzero(whole)
+        rarest, most = start.copy(), self.idf[word[start]]
+        for i in range(1, self.window):
+            own = self.idf[word[start + i]]
+            rarer = own > most
+            rarest[rarer], most[rarer] = start[rarer] + i, own[rarer]
+        return np.unique(rarest)
+
+    def places(self, word: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Template, first word of the key and coverage of all places by text, template and word, given number and text of every word."""
+        rare = self.looked_up(word, text)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        ends, first = np.cumsum(self.many[word[rare]]), 0
+        while first < len(rare):
+            done = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
+            found.append(self.verified(word, text, *self.intersected(word, text, rare, first, last)))
+            first = last
+        template, start, coverage = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((start, template, text[start]))
+        return template[order], start[order], coverage[order]
+
+    def intersected(self, word: np.ndarray, text: np.ndarray, rare: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Template and first word of the keys that may stand around the words looked up, each at its first one."""
+        own = np.repeat(np.arange(first, last), self.many[word[rare[first:last]]])
+        posting = spans(self.begin[word[rare[first:last]]], self.many[word[rare[first:last]]])
+        template = self.template[posting]
+        start = rare[own] - self.place[posting]
+        end = start + self.key_size[template]
+        before = np.where(own > 0, rare[own - 1], -1)
+        good = np.flatnonzero((before < start) & (start >= 0) & (end <= len(word)))
+        template, start, end = template[good], start[good], end[good]
+        # The last word looked up in the span has to have the posting that fits.
+        at = rare[np.searchsorted(rare, end) - 1]
+        good = (text[start] == text[end - 1]) & (self.keys[self.key_first[template] + at - start] == word[at])
+        return template[good], start[good]
+
+    def verified(self, word: np.ndarray, text: np.ndarray, template: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The candidates whose key stands there whole, with enough of the template in the same text."""
+        size = self.key_size[template]
+        equal = word[spans(start, size)] == self.keys[spans(self.key_first[template], size)]
+        good = np.logical_and.reduceat(equal, np.cumsum(size) - size) if len(size) else np.zeros(0, bool)
+        template, start = template[good], start[good]
+        if not len(start):
+            return template, start, np.zeros(0)
+        size = self.size[template]
+        own = self.words[spans(self.first[template], size)]
+        at = spans(start - self.lead[template], size)
+        inside = (at >= 0) & (at < len(word))
+        at = np.where(inside, at, 0)
+        equal = inside & (word[at] == own) & (text[at] == np.repeat(text[start], size))
+        cuts = np.cumsum(size) - size
+        coverage = np.add.reduceat(equal * self.idf[own], cuts) / np.add.reduceat(self.idf[own], cuts)
+        good = coverage >= COVERAGE
+        return template[good], start[good], coverage[good]
+
+
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All lists one after the other, where each begins, and their sizes."""
+    size = np.array([len(x) for x in lists], np.int64)
+    return np.array([i for x in lists for i in x], np.int64), np.cumsum(size) - size, size
+
+
+def spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from begin on, so many of each, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def vocabulary(templates: list[Template]) -> list[str]:
@@ -164,20 +228,25 @@ def scan(documents: DataFrame, index: Index, text: str = "text") -> DataFrame:
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
+        labels = np.array([t.label for t in known.templates], object)
+        base = np.array([t.base for t in known.templates], bool)
         for block in blocks(batches, text):
             hashes, owner = words_of(block)
             counts = np.bincount(owner, minlength=block.size)
             first = np.cumsum(counts) - counts
-            found: list[list[dict]] = [[] for _ in range(block.size)]
-            for number, starts, coverage in known.places(known.numbers(hashes), owner):
-                template = known.templates[number]
-                for start, share in zip(starts.tolist(), coverage.tolist(), strict=True):
-                    own = int(owner[start])
-                    found[own].append(
-                        {"label": template.label, "template": number, "word": start - int(first[own]), "coverage": share, "base": template.base}
-                    )
+            template, start, coverage = known.places(known.numbers(hashes), owner)
+            text_of = owner[start]
+            columns = [
+                pa.array(labels[template], pa.string()),
+                pa.array(template, pa.int32()),
+                pa.array(start - first[text_of], pa.int64()),
+                pa.array(coverage, pa.float64()),
+                pa.array(base[template], pa.bool_()),
+            ]
+            ends = np.searchsorted(text_of, np.arange(block.size + 1)).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=list(PLACE_TYPE.value_type)))
             rows = block.rows.append_column("n_words", pa.array(counts, pa.int64()))
-            yield rows.append_column("licenses", pa.array(found, PLACE_TYPE))
+            yield rows.append_column("licenses", places)
 
     return documents.mapInArrow(scanned, with_fields(documents, f"n_words long, licenses array<{PLACE}>"))
 
