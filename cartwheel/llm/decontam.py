@@ -1,20 +1,24 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts are compared as words in lower case with one space between (ASCII and Latin-1 letters are folded,
-everything else that is not a letter or digit separates). An item of n bytes may differ by k = RATE * n
-edits. Cut into k + 1 pieces, at least one piece of every such occurrence is unchanged; an automaton over
-all pieces finds those places, and Myers' bit-parallel distance decides on the text around each.
-
-The benchmark reaches the tasks in blocks of about ITEM_BYTES, each collected and shipped by itself, and
-the documents pass all blocks one after the other without a shuffle.
-
-Edge cases: null and empty texts never match, nor do null items or those of fewer than MIN_BYTES
-normalised bytes, which are no evidence. Equal items are all reported. An empty benchmark keeps every
-document. Other columns are passed on.
+Texts are compared as words in lower case with one space between (everything that is no ASCII letter or digit
+nor outside ASCII separates). An item of n bytes may differ by k = RATE * n edits. Cut into k + 1 pieces, at
+least one piece of every such occurrence is unchanged; an automaton over all pieces finds those
+places, and Myers' bit-parallel distance decides on the text around each. An item of fewer than MIN_BYTES
+bytes has no budget: it is found where it stands as whole words.
+
+The benchmark reaches the tasks in blocks of about ITEM_BYTES. A task passes its documents through all
+blocks, HELD_BYTES of text at a time, with one automaton alive at once and without a shuffle. Beyond
+SHIPPED_BYTES of benchmark the found leaks are stored in between, so that no more than this is shipped to a task.
+
+Edge cases: null and empty texts never match, nor do null items or those without a word. Equal items are all
+reported. An empty benchmark keeps every document. Other columns are passed on; the ids of items keep their type, which
+has to have an order. Case is folded in all scripts, but for the few letters (such as the dotted capital I) whose
+lower case has another number of bytes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -24,23 +28,72 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
+
 from cartwheel.llm.blocks import LOWER, WORD, Block, arrow_batches, blocks, with_fields
+from cartwheel.session import stored
 
 RATE = 0.05
 MIN_BYTES = 24
 ITEM_BYTES = 4 << 20
-LEAK = "struct<item_id: bigint, errors: int, first_byte: bigint, end_byte: bigint>"
-LEAK_TYPE = pa.list_(
-    pa.struct([("item_id", pa.int64()), ("errors", pa.int32()), ("first_byte", pa.int64()), ("end_byte", pa.int64())])
-)
+HELD_BYTES = 32 << 20
+SHIPPED_BYTES = 64 << 20
+
+
+def leak(item_id: DataType) -> str:
+    return f"struct<item_id: {item_id.simpleString()}, errors: int, first_byte: bigint, end_byte: bigint>"
+
+
+def leak_type(item_id: DataType) -> pa.DataType:
+    own = [("item_id", to_arrow_type(item_id)), ("errors", pa.int32()), ("first_byte", pa.int64()), ("end_byte", pa.int64())]
+    return pa.list_(pa.struct(own))
+
+
+def folded_letters() -> np.ndarray:
+    """For every code point of two to four bytes that of its folded letter, if this has as many bytes; else itself."""
+    table = np.arange(1 << 17, dtype=np.int32)
+    for code in range(128, len(table)):
+        letter = chr(code)
+        for other in (letter.casefold(), letter.lower()):
+            if other != letter and len(other) == 1 and len(other.encode()) == len(letter.encode()):
+                table[code] = ord(other)
+                break
+    return table
+
+
+FOLDED = folded_letters()
+
+
+def leads(size: int) -> np.ndarray:
+    """Which first bytes of letters of so many bytes lead to any that is folded."""
+    codes = np.flatnonzero(FOLDED != np.arange(len(FOLDED)))
+    own = [c for c in map(chr, codes.tolist()) if len(c.encode()) == size]
+    table = np.zeros(256, bool)
+    table[[c.encode()[0] for c in own]] = True
+    return table
+
+
+LEADS = {size: leads(size) for size in (2, 3, 4)}
 
 
 def folded(data: np.ndarray) -> np.ndarray:
-    """Lower case for A-Z and the capitals of Latin-1, byte by byte."""
+    """Lower case for the letters of all scripts, with every byte in its place."""
     low = LOWER[data]
-    if len(data) > 1:
-        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        low[1:][capital] += 0x20
+    for size, table in LEADS.items():
+        at = np.flatnonzero(table[data[: max(0, len(data) - size + 1)]])
+        code = data[at].astype(np.int32) & (0x7F >> size)
+        whole = np.ones(len(at), bool)
+        for i in range(1, size):
+            own = data[at + i]
+            whole &= (own & 0xC0) == 0x80
+            code = (code << 6) | (own & 0x3F)
+        whole &= code < len(FOLDED)
+        at, code = at[whole], FOLDED[code[whole]]
+        for i in range(size - 1, 0, -1):
+            low[at + i] = 0x80 | (code & 0x3F)
+            code >>= 6
+        low[at] = (0xF00 >> size) & 0xFF | code
     return low
 
 
@@ -70,7 +123,8 @@ class Pattern:
 
     def __init__(self, item_id: int, text: str, rate: float):
         self.item_id, self.text, self.size = item_id, text, len(text)
-        self.budget = int(rate * len(text))
+        self.short = len(text) < MIN_BYTES
+        self.budget = 0 if self.short else int(rate * len(text))
         self.masks = self.bits(text)
         self.reverse: dict[str, int] | None = None
 
@@ -165,6 +219,8 @@ class Matcher:
     @staticmethod
     def verified(pattern: Pattern, shifts: list[int], text: str, first: int, last: int) -> tuple[int, int, int] | None:
         """The best occurrence near any of the shifts; shifts closer than the budget share a window."""
+        if pattern.short:
+            return whole_words(pattern.size, shifts, text, first, last)
         best_hit, k = None, pattern.budget
         i = 0
         while i < len(shifts):
@@ -181,15 +237,23 @@ class Matcher:
         return best_hit
 
 
+def whole_words(size: int, places: list[int], text: str, first: int, last: int) -> tuple[int, int, int] | None:
+    """The first of the places that begins and ends with a word."""
+    for a in places:
+        if (a == first or text[a - 1] == " ") and (a + size == last or text[a + size] == " "):
+            return 0, a, a + size
+    return None
+
+
 def item_blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The usable items in blocks of about ITEM_BYTES, each of them small enough for driver and tasks."""
-    known = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("long").alias("i"), F.col(text).alias("t"))
+    """The items with any word in blocks of about ITEM_BYTES, each of them small enough for driver and tasks."""
+    known = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).alias("i"), F.col(text).alias("t"))
     total = known.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = -(-total // ITEM_BYTES)
     for part in range(parts):
         own = known.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part) if parts > 1 else known
         items = sorted((row["i"], plain(row["t"])) for row in own.toLocalIterator())
-        items = [x for x in items if len(x[1]) >= MIN_BYTES]
+        items = [x for x in items if x[1]]
         if items:
             yield items
 
@@ -198,25 +262,56 @@ def leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE, text:
     """All columns of the documents and `leaks`: for each item found its errors and span in the text's bytes."""
     documents = documents.drop("leaks")
     arrow_batches(documents.sparkSession)
-    out = documents.withColumn("leaks", F.array().cast(f"array<{LEAK}>"))
+    kind = benchmark.schema[item].dataType
+    column = f"leaks array<{leak(kind)}>"
+    out, held, size = documents.withColumn("leaks", F.array().cast(column.split(" ", 1)[1])), [], 0
+    first = True
+
+    def passed(out: DataFrame) -> DataFrame:
+        if first:
+            return documents.mapInArrow(searcher(held, rate, text, "leaks", leak_type(kind)), with_fields(documents, column))
+        more, done = f"leaks_{uuid.uuid4().hex[:8]}", stored(out, "leaks")
+        found = done.mapInArrow(searcher(held, rate, text, more, leak_type(kind)), with_fields(done, column.replace("leaks", more, 1)))
+        return found.withColumn("leaks", F.concat("leaks", more)).drop(more)
+
     for items in item_blocks(benchmark, item, item_text):
-        shipped = documents.sparkSession.sparkContext.broadcast(items)
-        out = out.mapInArrow(searcher(shipped, rate, text), with_fields(documents, f"leaks array<{LEAK}>"))
-    return out
+        held.append(documents.sparkSession.sparkContext.broadcast(items))
+        size += sum(len(t) for _, t in items)
+        if size >= SHIPPED_BYTES:
+            out, first, held, size = passed(out), False, [], 0
+    return passed(out) if held else out
+
+
+def searcher(shipped: list, rate: float, text: str, column: str, kind: pa.DataType):
+    """Adds the leaks of all shipped blocks of items as a column."""
+
+    def answered(block: Block, found: list[list[dict]]) -> pa.RecordBatch:
+        return block.rows.append_column(column, pa.array(found, kind))
 
+    def through(held: list[Block]) -> Iterator[pa.RecordBatch]:
+        found: list[list[list[dict]]] = [[[] for _ in range(block.size)] for block in held]
+        for items in shipped if held else []:
+            matcher = Matcher(items.value, rate)
+            for block, own in zip(held, found, strict=True):
+                for known, new in zip(own, matcher.leaks(block), strict=True):
+                    known += new
+        yield from map(answered, held, found)
 
-def searcher(shipped, rate: float, text: str):
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = None
+        if len(shipped) == 1:
+            matcher = None
+            for block in blocks(batches, text):
+                matcher = matcher or Matcher(shipped[0].value, rate)
+                yield answered(block, matcher.leaks(block))
+            return
+        held, size = [], 0
         for block in blocks(batches, text):
-            matcher = matcher or Matcher(shipped.value, rate)
-            at = block.rows.schema.get_field_index("leaks")
-            before, found = block.rows.column(at), matcher.leaks(block)
-            if any(found):
-                both = [old + new for old, new in zip(before.to_pylist(), found, strict=True)]
-                yield block.rows.set_column(at, "leaks", pa.array(both, LEAK_TYPE))
-            else:
-                yield block.rows.set_column(at, "leaks", before.cast(LEAK_TYPE))
+            held.append(block)
+            size += len(block.data)
+            if size >= HELD_BYTES:
+                yield from through(held)
+                held, size = [], 0
+        yield from through(held)
 
     return searched
 
