@@ -3,8 +3,9 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from cartwheel.session import shared_dir
+from cartwheel.session import shared_dir, shuffle_partitions, tune
 
 
 def fake(master, **conf):
@@ -28,3 +29,16 @@ def test_a_cluster_must_name_its_folder(master):
 @pytest.mark.parametrize("master", ["local", "local[*]", "local[8]", "local[4,2]"])
 def test_a_local_session_uses_its_warehouse(master):
     assert shared_dir(fake(master)) == "file:/work/spark-warehouse/cartwheel-work"
+
+
+def test_partitions_of_a_shuffle_follow_its_size(spark):
+    """Also beyond the number that the session has set."""
+    tune(spark)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        grouped = spark.range(1_000_000).groupBy(F.md5(F.col("id").cast("string")).alias("k")).count()
+        used = grouped.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        tune(spark)
+    assert used > shuffle_partitions(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
