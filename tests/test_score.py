@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +169,29 @@ def test_pairs_in_blocks_equal_joined_pairs(spark, model, block_rows, how):
 def test_no_pairs_in_blocks(spark, model):
     empty = spark.createDataFrame([], "user_id string, item_id string, rating double")
     assert predict_in_blocks(empty, model).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e4, 1e12, 1e160])
+def test_products_that_single_precision_cannot_tell_apart(scale):
+    """Scores a few millionths apart come in their exact order, whatever the size of the numbers."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=6)
+    items = (base + rng.normal(size=(700, 6)) * 1e-7) * scale
+    queries = rng.normal(size=(40, 6)) + base
+    wanted = np.round(np.einsum("qd,id->qi", queries, items), 8)
+    row, col, score = top_products(queries, items, np.full(40, 7))
+    for q in range(40):
+        assert col[row == q].tolist() == sorted(range(700), key=lambda i: (-wanted[q, i], i))[:7]
+        assert score[row == q] == pytest.approx(np.sort(wanted[q])[::-1][:7], rel=1e-12)
+
+
+def test_a_tile_of_products_stays_small():
+    """A hundred million pairs take little memory and no more than a few seconds of one core."""
+    rng = np.random.default_rng(6)
+    queries = np.hstack([rng.normal(size=(2_000, 16)), np.ones((2_000, 1)), np.zeros((2_000, 1))])
+    items = np.hstack([rng.normal(size=(50_000, 16)), np.zeros((50_000, 1)), np.ones((50_000, 1))])
+    tracemalloc.start()
+    found = top_bounded_products(queries, items, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) == 20_000 and peak < 40 << 20
