@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.config import Config
-from cartwheel.operators import grid
+from cartwheel.operators import gradient, grid
 from cartwheel.operators.bias import fit_bias
 from cartwheel.operators.evaluate import heldout_rmse
 from cartwheel.operators.factors import fit_factor_model
-from cartwheel.operators.gradient import Plateau, fit_gradient, initial_parameters
+from cartwheel.operators.gradient import Plateau, fit_gradient, initial_parameters, meetings
 from cartwheel.operators.index import id_index
 from cartwheel.operators.recommend import recommend_baskets
 from cartwheel.plans.stages import evaluate_stage, extract_stage, select_stage, train_stage
@@ -217,3 +217,40 @@ def test_training_needs_a_train_side(spark, tmp_path):
     extract_stage(spark, config, events)
     with pytest.raises(ValueError):
         train_stage(spark, config, "run")
+
+
+@pytest.mark.parametrize("blocks,groups", [(1, 1), (5, 1), (5, 2), (7, 3), (8, 8), (27, 12)])
+def test_meetings_keep_the_order_of_the_strata(blocks, groups):
+    """Every cell comes once, behind the cells of its users and of its items in earlier strata, in few stages."""
+    stages = meetings(blocks, groups)
+    assert len(stages) <= groups + 1
+    group = lambda b: b * groups // blocks
+    stage = {}
+    for n, (moved, strata) in enumerate(stages):
+        for u in range(blocks):
+            for s in strata:
+                i = (u + s) % blocks
+                apart = (group(i) - group(u)) % groups
+                if (groups if groups > 1 and apart == 0 and i < u else apart) == moved:
+                    assert (u, s) not in stage
+                    stage[u, s] = n
+    assert len(stage) == blocks * blocks
+    for (u, s), n in stage.items():
+        for other in ((u, s - 1), ((u + 1) % blocks, s - 1)):  # the same users, and the same items
+            if s:
+                same_task = stage[other] == n and group(other[0]) == group(u)
+                assert stage[other] < n or same_task
+
+
+def test_groups_of_blocks_take_the_steps_of_strata(spark, pairs, sides):
+    users, items = ids(spark, USERS, "user_id"), ids(spark, ITEMS, "item_id")
+    cells = grid.ratings_grid(sides[0], 5)
+    start = gradient.initial_state(users, items, D, 5, 42)
+    found = []
+    for groups in (5, 2, 1):
+        after = gradient.epoch_of(start, cells, 5, 1, 42, gradient.cell_trainer(3.0, 0.1, 0.01, 4), groups).collect()
+        found.append(({(r.kind, r.id): (r.steps, *r.w) for r in after if r.kind != "e"}, sum(r.w[0] for r in after if r.kind == "e")))
+    for state, loss in found[1:]:
+        assert loss == pytest.approx(found[0][1]) and state.keys() == found[0][0].keys()
+        for key, row in state.items():
+            assert row == pytest.approx(found[0][0][key], rel=1e-9)
