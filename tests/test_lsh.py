@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.functions.vectors import EPSILON, cosine, hyperplanes
+from cartwheel.operators import lsh
 from cartwheel.operators.lsh import _bucket_candidates, bucket_sizes, build_index, keyed_queries, neighbors, per_table
 from cartwheel.sources.artifacts import load_or_build
 
@@ -126,3 +128,23 @@ def test_index_is_built_once(spark, items, tmp_path):
     assert build().select(*columns).exceptAll(again.select(*columns)).isEmpty()
     (tmp_path / "buckets" / "_SUCCESS").unlink()  # as an interrupted job leaves it
     assert load_or_build(spark, path, build, "table_idx").count() == 3 * N and len(calls) == 3
+
+
+def test_a_hot_bucket_meets_in_small_calls(spark, monkeypatch):
+    """Thirty thousand equal items and as many queries share a bucket: no call gets most of them."""
+
+    def sized(key):
+        def rows(left, right):
+            n = float(len(left) + len(right))
+            return pa.table([pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([n]), pa.array([1], pa.int32())], names=[key, "item_id", "score", "k"])
+
+        return rows
+
+    monkeypatch.setattr(lsh, "_piece_scorer", sized)
+    vector = F.array(*[F.lit(1.0)] * 4).alias("features")
+    items = spark.range(30_000).select(F.col("id").alias("item_id"), vector)
+    queries = spark.range(30_000).select(F.col("id").alias("query_id"), vector, F.lit(1).alias("k"))
+    index = build_index(items, 4, 1, 3)
+    probes = per_table(lsh.keyed_queries(queries, hyperplanes(4, 1, 3, 42)).withColumn("excluded", F.lit(None).cast("array<long>")))
+    found = _bucket_candidates(index, probes, "query_id", lsh.BLOCK_ROWS, None)
+    assert 10_000 < found.agg(F.max("score")).first()[0] < 50_000
