@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.session import shared_dir, shuffle_partitions, tune
+from cartwheel.session import shared_dir, shuffle_partitions, stored_bytes, tune
 
 
 def fake(master, **conf):
@@ -42,3 +42,20 @@ def test_partitions_of_a_shuffle_follow_its_size(spark):
         tune(spark)
     assert used > shuffle_partitions(spark)
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_shuffles_of_a_large_input_begin_with_more_partitions(spark, tmp_path):
+    """The share of a partition must not grow with the files that are read."""
+    (tmp_path / "a.parquet").mkdir()
+    (tmp_path / "a.parquet" / "part").write_bytes(bytes(3_000))
+    (tmp_path / "b.parquet").write_bytes(bytes(500))
+    assert stored_bytes(spark, *(f"{tmp_path}/{name}.parquet" for name in "abc")) == 3_500
+    initial = lambda: int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    try:
+        tune(spark, 1 << 30)
+        large = initial()
+        tune(spark, 6 << 30)
+        assert (large, initial()) == (256, 1_536)
+    finally:
+        tune(spark)
+    assert initial() == 64
