@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.vectors import EPSILON, cosine, hyperplanes
 from cartwheel.operators import lsh
 from cartwheel.operators.lsh import _bucket_candidates, bucket_sizes, build_index, keyed_queries, neighbors, per_table
+from cartwheel.session import stored, tune
 from cartwheel.sources.artifacts import load_or_build
 
 N, D = 300, 16
@@ -148,3 +149,23 @@ def test_a_hot_bucket_meets_in_small_calls(spark, monkeypatch):
     probes = per_table(lsh.keyed_queries(queries, hyperplanes(4, 1, 3, 42)).withColumn("excluded", F.lit(None).cast("array<long>")))
     found = _bucket_candidates(index, probes, "query_id", lsh.BLOCK_ROWS, None)
     assert 10_000 < found.agg(F.max("score")).first()[0] < 50_000
+
+
+def test_tasks_of_the_buckets_follow_the_input(spark):
+    """Their number is not the session's, whatever the size of the input, and the neighbours stay the same."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist(), 3) for i in range(80)]
+    vectors = spark.createDataFrame(rows, "item_id long, features array<double>, k int")
+    planes = lsh.hyperplanes(4, 2, 3, 42)
+    index = stored(lsh.build_index(vectors, 4, 2, 3, 42), "buckets")
+    probes = lsh.per_table(lsh.with_keys(vectors.select(F.col("item_id").alias("query_id"), "features", "k", F.lit(None).cast("array<long>").alias("excluded")), planes))
+    found = []
+    try:
+        for size, parts in ((0, 64), (1 << 30, 256)):
+            tune(spark, size)
+            pairs = lsh._bucket_candidates(index, probes, "query_id", 20, None)
+            assert pairs.rdd.getNumPartitions() == parts
+            found.append(sorted(map(tuple, lsh.best_candidates(pairs).collect())))
+    finally:
+        tune(spark)
+    assert found[0] == found[1] and len(found[0]) > 80
