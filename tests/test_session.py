@@ -59,3 +59,18 @@ def test_shuffles_of_a_large_input_begin_with_more_partitions(spark, tmp_path):
     finally:
         tune(spark)
     assert initial() == 64
+
+
+def test_a_task_gets_little_of_a_known_input(spark):
+    """Its sorts and aggregates hold that many times over, so partitions are not merged up to the size that others have."""
+    used = {}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        for size in (0, 1):
+            tune(spark, size)
+            grouped = spark.range(1_000_000).groupBy(F.md5(F.col("id").cast("string")).alias("k")).count()
+            used[size] = grouped.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+        tune(spark)
+    assert used[1] >= 3 * used[0]
