@@ -13,10 +13,11 @@ UTF-8 to replacement characters. A segmentation that does not exist is left out
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from cartwheel.llm.blocks import BLOCK_BYTES, arrow_batches, blocks, with_fields
@@ -24,10 +25,13 @@ from cartwheel.llm.lattice import Tokens, Vocabulary, best_ids, best_paths, spre
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N = 4
+ENCODED_BYTES = 1 << 19  # of text in a block that is encoded: its trie and ways take many times as much
 KEPT = 20_000  # searched pre-tokens that a task remembers
 KEPT_BYTES = 200  # of the longest of these
 
 WAYS = "array<struct<score: double, edits: array<struct<at: int, drop: int, ids: array<int>>>>>"
+ENCODED = f"ids array<int>, score double, nbest {WAYS}"
+DECODED = "decoded string"
 EDIT_TYPE = pa.struct([("at", pa.int32()), ("drop", pa.int32()), ("ids", pa.list_(pa.int32()))])
 WAYS_TYPE = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(EDIT_TYPE))]))
 
@@ -77,18 +81,12 @@ def other_ways(
     return out
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, n: int = N, text: str = "text") -> DataFrame:
-    """All columns of the documents, `ids`, their `score`, and `nbest`: the next n - 1 segmentations.
-
-    Each of these has a score and edits of the ids: `drop` of them from `at` on give way to others.
-    """
-    documents = documents.drop("ids", "score", "nbest")
-    arrow_batches(documents.sparkSession)
-    shipped = documents.sparkSession.sparkContext.broadcast(vocabulary)
+def encoding(shipped: Broadcast[Vocabulary], n: int, text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task of `encode` does."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = shipped.value, {}
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, ENCODED_BYTES):
             found = tokens(with_spaces(block), own)
             flat, bounds = best_ids(found)
             ids, occurrence = spread(flat, bounds, found.kind)
@@ -103,7 +101,18 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, n: int = N, text: str =
             out = out.append_column("score", pa.array(scores, pa.float64()))
             yield out.append_column("nbest", pa.array(ways, WAYS_TYPE))
 
-    return documents.mapInArrow(encoded, with_fields(documents, f"ids array<int>, score double, nbest {WAYS}"))
+    return encoded
+
+
+def encode(documents: DataFrame, vocabulary: Vocabulary, n: int = N, text: str = "text") -> DataFrame:
+    """All columns of the documents, `ids`, their `score`, and `nbest`: the next n - 1 segmentations.
+
+    Each of these has a score and edits of the ids: `drop` of them from `at` on give way to others.
+    """
+    documents = documents.drop("ids", "score", "nbest")
+    arrow_batches(documents.sparkSession)
+    shipped = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    return documents.mapInArrow(encoding(shipped, n, text), with_fields(documents, ENCODED))
 
 
 def spell(ids: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> list[str]:
@@ -118,10 +127,8 @@ def spell(ids: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary) -> list[s
     return out
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
-    """All columns, and the text of the ids as `decoded`."""
-    encoded = encoded.drop("decoded")
-    shipped = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+def decoding(shipped: Broadcast[Vocabulary], ids: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task of `decode` does."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
@@ -140,7 +147,26 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> Data
                 yield part.append_column("decoded", pa.array(texts, pa.string(), mask=missing))
                 first = last
 
-    return encoded.mapInArrow(decoded, with_fields(encoded, "decoded string"))
+    return decoded
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
+    """All columns, and the text of the ids as `decoded`."""
+    encoded = encoded.drop("decoded")
+    shipped = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    return encoded.mapInArrow(decoding(shipped, ids), with_fields(encoded, DECODED))
+
+
+def encode_and_decode(documents: DataFrame, vocabulary: Vocabulary, n: int = N, text: str = "text") -> DataFrame:
+    """What `decode` gives for the rows of `encode`, by the same steps in one task.
+
+    One after the other on frames, they would keep two Python workers for each task, and all rows would go through the JVM between them.
+    """
+    documents = documents.drop("ids", "score", "nbest", "decoded")
+    arrow_batches(documents.sparkSession)
+    shipped = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    encoded, decoded = encoding(shipped, n, text), decoding(shipped, "ids")
+    return documents.mapInArrow(lambda batches: decoded(encoded(batches)), with_fields(documents, f"{ENCODED}, {DECODED}"))
 
 
 def rewritten(ids: list[int], edits: list[dict]) -> list[int]:

@@ -42,9 +42,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the best segmentation, whether they spell the text again, and the scores of the next best."""
-    vocabulary = Vocabulary.load(pieces.MODEL)
-    both = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return both.select(
+    return pieces.encode_and_decode(docs, Vocabulary.load(pieces.MODEL)).select(
         "doc_id",
         "lang",
         "source",

@@ -4,12 +4,14 @@ import itertools
 import math
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
-from helpers_llm import prose, rows_of, table
+from helpers_llm import prose, rows_of, table, write
 
 from cartwheel.llm import lattice, pieces
 from cartwheel.llm.blocks import Block
+from cartwheel.llm.queries import op4_sentencepiece
 
 SMALL = [b" ", b" a", b"ab", b"abc", b"b", b"c", b" ab", b"bc", b"a", b"cab", "é".encode(), b"  "]
 
@@ -156,3 +158,21 @@ def test_decode_of_odd_ids(spark, model):
 def test_empty_table(spark, model):
     assert pieces.decode(pieces.encode(table(spark, []), model), model).count() == 0
     assert pieces.count(table(spark, []), model).count() == 0
+
+
+def test_encoding_and_decoding_in_one_task_give_the_same_rows(spark, small, monkeypatch):
+    texts = [*given(), "a b c " * 400]
+    frame = table(spark, texts, ["1 AS ids", "'x' AS decoded"]).coalesce(2)
+    monkeypatch.setattr(pieces, "ENCODED_BYTES", 500)
+    apart = pieces.decode(pieces.encode(frame, small), small)
+    together = pieces.encode_and_decode(frame, small)
+    assert together.columns == apart.columns
+    assert sorted(map(str, together.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_queries_have_one_python_worker_a_task(spark, tmp_path):
+    folder = write(spark, tmp_path, documents=table(spark, ["some text", None, ""]))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for frame in (corpus_pipeline.encoded(spark, docs, folder), op4_sentencepiece(spark, folder)):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert all(r["round_trip"] for r in frame.collect())
