@@ -1,6 +1,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from cartwheel.functions.vectors import top_bounded_products, top_products
 from cartwheel.operators import score
 from cartwheel.operators.evaluate import evaluate, heldout_rmse
 from cartwheel.operators.factors import FactorModel, predict_in_blocks, predict_pairs, without_biases
+from cartwheel.operators.meetings import Best
 from cartwheel.operators.score import top_items
 
 D, USERS, ITEMS, MU = 4, 40, 60, 2.5
@@ -195,3 +197,36 @@ def test_a_tile_of_products_stays_small():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found[0]) == 20_000 and peak < 40 << 20
+
+
+def test_a_user_returns_k_rows_however_many_blocks_there_are(spark, model, arrays, monkeypatch):
+    """What is sent on to be ranked follows the users: every block lies once, and keeps the best of all packs."""
+    sent, tables = [], {}
+    ranked, stored = score.ranked, score.stored
+    monkeypatch.setattr(score, "ranked", lambda frame, *a: ranked(sent.append(frame) or frame, *a))
+    monkeypatch.setattr(score, "stored", lambda frame, name: tables.setdefault(name, stored(frame, name)))
+    found = listed(top_items(model, model.users, 12, block_rows=7))
+    tasks = -(-8 // -(-USERS // 7))  # of a block, so that there are as many as shuffle partitions
+    assert USERS * 12 <= sent[0].count() <= USERS * 12 * tasks < USERS * ITEMS
+    assert tables["user-blocks"].agg(F.sum(F.size("users"))).first()[0] == USERS
+    assert tables["item-packs"].agg(F.sum(F.size("items"))).first()[0] == ITEMS and tables["item-packs"].count() > 3
+    expected = scores(arrays)
+    assert found == {f"u{u:03d}": [f"i{i:03d}" for i in best(expected[u], 12)] for u in range(USERS)}
+
+
+@pytest.mark.parametrize("ids", [["a", "b", "c", "d"], [4, 7, 8, 9]])
+def test_best_of_parts(ids):
+    """Cuts in between lose nothing, equal scores keep the order of ids, and an id counts once if it is to."""
+    rng = np.random.default_rng(2)
+    for distinct in (False, True):
+        held, everything = Best(np.array([2, 0, 3]), distinct), {0: [], 1: [], 2: []}
+        held.most = 4
+        for _ in range(30):
+            rows, picked = rng.integers(0, 3, 2), rng.integers(0, 4, 2)
+            values = picked // 2 * 1.0
+            held.add(rows, pa.array([ids[i] for i in picked]), values)
+            for r, i, v in zip(rows.tolist(), picked.tolist(), values.tolist()):
+                everything[r].append((-v, ids[i]))
+        rows, names, values = held.cut()
+        want = [(r, i, -v) for r, k in ((0, 2), (2, 3)) for v, i in sorted(set(everything[r]) if distinct else everything[r])[:k]]
+        assert list(zip(rows.tolist(), names.to_pylist(), values.tolist())) == want
