@@ -169,3 +169,25 @@ def test_tasks_of_the_buckets_follow_the_input(spark):
     finally:
         tune(spark)
     assert found[0] == found[1] and len(found[0]) > 80
+
+
+@pytest.mark.parametrize("rows", [9, 1_000])
+def test_packs_of_the_index_give_the_same_neighbours(spark, items, vectors, monkeypatch, rows):
+    """Many queries meet the packs of the index in one task for each block, which sends k rows a query on, not k a bucket."""
+    planes = hyperplanes(D, 5, 4, 42)
+    index = stored(build_index(items, D, 5, 4), "buckets")
+    without = F.array_compact(F.array("item_id", *[F.when(F.col("item_id") % 3 == 0, F.col("item_id") + i) for i in range(1, 9)]))
+    k = F.when(F.col("item_id") % 7 != 0, (F.col("item_id") % 5 + 1).cast("int")).otherwise(F.lit(0))
+    queries = items.select(F.col("item_id").alias("query_id"), "features", k.alias("k"), without.alias("excluded"))
+    asked = lambda: sorted(map(tuple, neighbors(index, queries, planes).collect()))
+    few, sent = asked(), []
+    for name in ("QUERY_ROWS", "MIN_QUERIES", "PACK_ROWS"):
+        monkeypatch.setattr(lsh, name, rows)
+    monkeypatch.setattr(lsh, "FEW_QUERIES", 0)
+    ranked = lsh.best_candidates
+    monkeypatch.setattr(lsh, "best_candidates", lambda found, *a: ranked(sent.append(found) or found, *a))
+    assert asked() == few and len(few) > N
+    tasks = max(1, -(-16 // -(-N // rows)))  # of a block
+    assert len(few) <= sent[0].count() <= tasks * len(few)
+    again = queries.unionByName(queries)  # keys may repeat
+    assert sorted(map(tuple, neighbors(index, again, planes).collect())) == few

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from cartwheel.config import Config
 from cartwheel.functions.vectors import EPSILON, hyperplanes
+from cartwheel.operators import recommend
 from cartwheel.operators.factors import FactorModel
 from cartwheel.operators.popularity import most_popular, popular_outside, ranked_popularity
 from cartwheel.operators.recommend import Recommender, recommend_baskets, request_error, responses, similar_items
@@ -252,3 +253,18 @@ def test_one_item_with_two_k(spark, recommender, arrays):
 def test_missing_model(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_model(spark, str(tmp_path / "none"))
+
+
+def test_passes_answer_every_basket_and_keep_their_answers_only(spark, recommender, arrays, monkeypatch, tmp_path):
+    """Baskets in passes that meet the packs of the index: the same answers, and the tables of one pass beside them."""
+    rng = random.Random(3)
+    baskets = BASKETS + [[rng.randrange(-5, N + 5) for _ in range(rng.randrange(1, 9))] for _ in range(30)]
+    asked, work = requests_of(spark, baskets), str(tmp_path / "work")
+    whole = sorted(map(tuple, recommend_baskets(asked, recommender).drop("request").collect()))
+    monkeypatch.setattr(recommend, "PASS_LINES", 60)
+    found = sorted(map(tuple, recommend_baskets(asked, recommender, work).drop("request").collect()))
+    assert found == whole and len({r[0] for r in found}) == len(baskets) - 1  # one names every item
+    lines = recommend.basket_lines(asked).count()
+    answers = {p.name for p in (tmp_path / "work").glob("answers-*")}
+    assert len(answers) == -(-lines // 60) > 3
+    assert spark.read.parquet(f"{work}/queries").count() < len(baskets) / 2
