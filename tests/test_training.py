@@ -254,3 +254,23 @@ def test_groups_of_blocks_take_the_steps_of_strata(spark, pairs, sides):
         assert loss == pytest.approx(found[0][1]) and state.keys() == found[0][0].keys()
         for key, row in state.items():
             assert row == pytest.approx(found[0][0][key], rel=1e-9)
+
+
+def test_many_users_and_items_are_trained_in_smaller_groups(spark, pairs, sides, monkeypatch):
+    """A task holds a bounded state, which is stored between stages, and the curve is the same."""
+    users, items = ids(spark, USERS, "user_id"), ids(spark, ITEMS, "item_id")
+    fit = lambda: fit_gradient(*sides, users, items, D, 0.05, 0.01, 2, 4, blocks=16)[1].orderBy("epoch").collect()
+    curve, held, names = fit(), [], []
+    epoch_of, stored = gradient.epoch_of, gradient.stored
+
+    def noted(state, grid, blocks, epoch, seed, kernel, groups=None, work=None):
+        held.append(groups)
+        return epoch_of(state, grid, blocks, epoch, seed, kernel, groups, work)
+
+    monkeypatch.setattr(gradient, "epoch_of", noted)
+    monkeypatch.setattr(gradient, "stored", lambda frame, name, *a: names.append(name) or stored(frame, name, *a))
+    monkeypatch.setattr(gradient, "STATE_ROWS", -(-(USERS + ITEMS) // 12))
+    again = fit()
+    assert held[0] == held[1] > 8 and {"parameters-0", "parameters-1"} <= set(names)
+    for mine, theirs in zip(again, curve, strict=True):
+        assert mine[2:6] == pytest.approx(theirs[2:6], rel=1e-9)
